@@ -24,3 +24,212 @@ FROM feat GROUP BY Amount_Category""",
 def a9_fraud_by_amount_category(spark, sf):
     """A9 (flagship): scan -> features -> fraud rate and count per amount band."""
     return ex.fraud_by_category(enriched(spark, sf))
+
+
+V_COLS = [f"V{i}" for i in range(1, 29)]
+
+
+@query(
+    "a3_amount_by_class",
+    with_ctes(TX)
+    + """SELECT Class, count(*) AS n, round(avg(Amount), 6) AS mean_amount, round(quantile_cont(Amount, 0.5), 6) AS median_amount
+FROM transactions GROUP BY Class""",
+)
+def a3_amount_by_class(spark, sf):
+    """A3: mean and exact median of Amount per class."""
+    return ex.amount_by_class(fx.transactions(spark, sf))
+
+
+_A4_COLS = ["Amount", "PCA_Magnitude", "V1", "V2"]
+
+
+@query(
+    "a4_five_number_summary",
+    with_ctes(TX, FEAT)
+    + " UNION ALL ".join(
+        f"""SELECT Class, '{c}' AS feature, round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q1,
+  round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q3, round(max({c}), 6) AS max
+FROM feat GROUP BY Class"""
+        for c in _A4_COLS
+    ),
+)
+def a4_five_number_summary(spark, sf):
+    """A4: boxplot data per class for Amount, PCA_Magnitude and two components."""
+    return ex.five_number_summary(enriched(spark, sf), _A4_COLS)
+
+
+def _hist_sql(col: str, bins: int, upper: float, src: str) -> str:
+    return f"""d AS (SELECT Class, {col} AS x FROM {src} WHERE {col} <= {upper} AND {col} IS NOT NULL),
+r AS (SELECT Class, min(x) AS lo, max(x) AS hi, count(*) AS n FROM d GROUP BY Class),
+b AS (SELECT d.Class, CAST(CASE WHEN (r.hi - r.lo) / {float(bins)} = 0 THEN 0
+        ELSE least(floor((d.x - r.lo) / ((r.hi - r.lo) / {float(bins)})), {bins - 1}) END AS INTEGER) AS bin, r.lo, r.hi, r.n
+      FROM d JOIN r ON d.Class = r.Class)
+SELECT Class, bin, round(lo + bin * ((hi - lo) / {float(bins)}), 6) AS bin_start, count(*) AS count,
+  round(CASE WHEN (hi - lo) / {float(bins)} = 0 THEN NULL ELSE count(*) / (n * ((hi - lo) / {float(bins)})) END, 6) AS density
+FROM b GROUP BY Class, bin, lo, hi, n"""
+
+
+@query("a5_amount_histogram_300", with_ctes(TX) + ", " + _hist_sql("Amount", 50, 300.0, "transactions"))
+def a5_amount_histogram_300(spark, sf):
+    """A5: 50-bin class-wise density of Amount <= 300."""
+    return ex.histogram_density(fx.transactions(spark, sf), "Amount", 50, 300.0)
+
+
+@query("a5_amount_histogram_500", with_ctes(TX) + ", " + _hist_sql("Amount", 30, 500.0, "transactions"))
+def a5_amount_histogram_500(spark, sf):
+    """A5: 30-bin class-wise density of Amount <= 500 (bias view)."""
+    return ex.histogram_density(fx.transactions(spark, sf), "Amount", 30, 500.0)
+
+
+@query("a5_amount_log_histogram", with_ctes(TX, FEAT) + ", " + _hist_sql("Amount_log", 40, 1e308, "feat"))
+def a5_amount_log_histogram(spark, sf):
+    """A5: 40-bin class-wise density of log1p(Amount)."""
+    df = enriched(spark, sf)
+    return ex.histogram_density(df, "Amount_log", 40, 1e308)
+
+
+@query(
+    "a6_hourly_volume",
+    with_ctes(TX, FEAT) + "SELECT CAST(floor(Hour) AS INTEGER) AS hour, Class, count(*) AS n FROM feat GROUP BY 1, 2",
+)
+def a6_hourly_volume(spark, sf):
+    """Volume per hour of day and class."""
+    return ex.hourly_volume(enriched(spark, sf))
+
+
+@query(
+    "a7_hourly_share",
+    with_ctes(TX, FEAT, "h AS (SELECT CAST(floor(Hour) AS INTEGER) AS hour, Class, count(*) AS n FROM feat GROUP BY 1, 2)")
+    + "SELECT hour, Class, n, round(n * 100.0 / sum(n) OVER (PARTITION BY Class), 6) AS pct FROM h",
+)
+def a7_hourly_share(spark, sf):
+    """Hourly share within class, %."""
+    return ex.hourly_share(enriched(spark, sf))
+
+
+@query(
+    "a8_night_day_fraud",
+    with_ctes(TX, FEAT)
+    + """SELECT round(avg(CASE WHEN Is_Night = 1 THEN Class END), 6) AS night_rate,
+  round(avg(CASE WHEN Is_Night <> 1 THEN Class END), 6) AS day_rate,
+  count(CASE WHEN Is_Night = 1 THEN 1 END) AS night_n, count(CASE WHEN Is_Night <> 1 THEN 1 END) AS day_n,
+  round(avg(CASE WHEN Is_Night = 1 THEN Class END) / nullif(avg(CASE WHEN Is_Night <> 1 THEN Class END), 0), 6) AS night_day_ratio
+FROM feat""",
+)
+def a8_night_day_fraud(spark, sf):
+    """Fraud rate by night/day and the night/day ratio."""
+    return ex.night_day_fraud(enriched(spark, sf))
+
+
+@query(
+    "a10_extreme_by_class",
+    with_ctes(TX, FEAT)
+    + """SELECT round(avg(CASE WHEN Class = 0 THEN PCA_Extreme_Count END), 6) AS mean_extreme_normal,
+  round(avg(CASE WHEN Class = 1 THEN PCA_Extreme_Count END), 6) AS mean_extreme_fraud,
+  round(avg(CASE WHEN Class = 1 THEN PCA_Extreme_Count END) / nullif(avg(CASE WHEN Class = 0 THEN PCA_Extreme_Count END), 0), 6) AS extreme_ratio
+FROM feat""",
+)
+def a10_extreme_by_class(spark, sf):
+    """A10: mean extreme-component count per class and ratio."""
+    return ex.extreme_by_class(enriched(spark, sf))
+
+
+_CORR_SQL = " UNION ALL ".join(
+    f"SELECT '{v}' AS feature, round(abs(corr({v}, CAST(Class AS DOUBLE))), 6) AS abs_corr FROM transactions" for v in V_COLS
+)
+
+
+@query("a11_abs_correlation", with_ctes(TX) + _CORR_SQL)
+def a11_abs_correlation(spark, sf):
+    """|Pearson r| of V1..V28 with Class."""
+    return ex.abs_correlations(fx.transactions(spark, sf), V_COLS)
+
+
+@query(
+    "t1_top5_correlated",
+    with_ctes(TX, f"c AS ({_CORR_SQL})")
+    + "SELECT feature, abs_corr, rank FROM (SELECT feature, abs_corr, row_number() OVER (ORDER BY abs_corr DESC, feature) AS rank "
+    + "FROM c WHERE abs_corr IS NOT NULL) WHERE rank <= 5",
+)
+def t1_top5_correlated(spark, sf):
+    """Top-5 components by |corr| with Class."""
+    return ex.top_correlated(fx.transactions(spark, sf), V_COLS, 5)
+
+
+_A12_COLS = ["Time", *V_COLS, "Amount", "Class"]
+
+
+@query(
+    "a12_distinct_counts",
+    with_ctes(TX)
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column, count(DISTINCT CAST({chr(34) + c + chr(34) if c == 'Time' else c} AS DOUBLE)) AS n_distinct FROM transactions"
+        for c in _A12_COLS
+    ),
+)
+def a12_distinct_counts(spark, sf):
+    """Exact distinct count of every base column (one shuffle)."""
+    return ex.distinct_counts(fx.transactions(spark, sf), _A12_COLS)
+
+
+@query(
+    "a13_daily_amount_stats",
+    with_ctes(TX, FEAT)
+    + "SELECT Day, round(avg(Amount), 6) AS amount_day_mean, round(stddev_samp(Amount), 6) AS amount_day_std, count(*) AS n FROM feat GROUP BY Day",
+)
+def a13_daily_amount_stats(spark, sf):
+    """Per-day mean and sample std of Amount."""
+    d = fz.daily_stats(enriched(spark, sf))
+    return d.select("Day", F.round("amount_day_mean", 6).alias("amount_day_mean"), F.round("amount_day_std", 6).alias("amount_day_std"), "n")
+
+
+@query(
+    "a14_time_span",
+    with_ctes(TX)
+    + """SELECT min("Time") AS time_min, max("Time") AS time_max, round(max("Time") / 86400.0, 6) AS span_days,
+  min(Amount) AS amount_min, max(Amount) AS amount_max FROM transactions""",
+)
+def a14_time_span(spark, sf):
+    """Ranges and span in days."""
+    return ex.time_span(fx.transactions(spark, sf))
+
+
+@query(
+    "a15_reidentification_risk",
+    with_ctes(TX, "p AS (SELECT count(*) AS distinct_pairs FROM (SELECT DISTINCT \"Time\", Amount FROM transactions))",
+              "r AS (SELECT count(*) AS rows FROM transactions)")
+    + """SELECT distinct_pairs, rows, round(distinct_pairs / rows, 6) AS risk,
+  CASE WHEN distinct_pairs / rows > 0.8 THEN 'ÉLEVÉ' ELSE 'MOYEN' END AS level FROM p, r""",
+)
+def a15_reidentification_risk(spark, sf):
+    """Re-identification risk from distinct (Time, Amount) pairs."""
+    return ex.reidentification_risk(fx.transactions(spark, sf))
+
+
+@query(
+    "a16_overview",
+    with_ctes(TX)
+    + "SELECT count(*) AS rows, 31 AS columns, CAST(coalesce(sum("
+    + " + ".join(f"CAST({c} IS NULL OR isnan({c}) AS BIGINT)" for c in ['"Time"', *V_COLS, "Amount"])
+    + " + CAST(Class IS NULL AS BIGINT)), 0) AS BIGINT) AS missing_cells FROM transactions",
+)
+def a16_overview(spark, sf):
+    """Dataset overview (rows, columns, missing cells)."""
+    return ex.overview(fx.transactions(spark, sf).drop("event_id"))
+
+
+@query(
+    "a17_insights",
+    with_ctes(
+        TX,
+        f"c AS ({_CORR_SQL})",
+        "t AS (SELECT string_agg(feature, ',' ORDER BY rank) AS top_features FROM (SELECT feature, row_number() OVER (ORDER BY abs_corr DESC, feature) AS rank FROM c WHERE abs_corr IS NOT NULL) WHERE rank <= 5)",
+        "s AS (SELECT count(*) AS total_transactions, sum(CASE WHEN Class = 0 THEN 1 ELSE 0 END) AS n0, sum(CASE WHEN Class = 1 THEN 1 ELSE 0 END) AS n1, "
+        "avg(CASE WHEN Class = 0 THEN Amount END) AS m0, avg(CASE WHEN Class = 1 THEN Amount END) AS m1 FROM transactions)",
+    )
+    + """SELECT total_transactions, '1:' || printf('%.0f', CAST(n0 AS DOUBLE) / n1) AS fraud_ratio, 31 AS total_variables, top_features,
+  round(m0, 2) AS avg_amount_normal, round(m1, 2) AS avg_amount_fraud FROM s, t""",
+)
+def a17_insights(spark, sf):
+    """Insights row (rows, ratio, top features, mean amounts)."""
+    return ex.insights(fx.transactions(spark, sf).drop("event_id"), V_COLS)
