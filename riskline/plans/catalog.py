@@ -9,6 +9,7 @@ from riskline.plans.registry import REGISTRY, Query
 _MODULES = [
     "riskline.plans.q_validate",
     "riskline.plans.q_explore",
+    "riskline.plans.q_prepare",
 ]
 
 

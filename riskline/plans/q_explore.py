@@ -233,3 +233,241 @@ def a16_overview(spark, sf):
 def a17_insights(spark, sf):
     """Insights row (rows, ratio, top features, mean amounts)."""
     return ex.insights(fx.transactions(spark, sf).drop("event_id"), V_COLS)
+
+
+# ---- features (F1-F13, C5-C7) -----------------------------------------------------------
+
+@query(
+    "f_enriched_features",
+    with_ctes(TX, FEAT)
+    + """SELECT event_id, round(Hour, 6) AS Hour, Day, Is_Night, Is_Weekend, round(Amount_log, 6) AS Amount_log, Amount_Category,
+  round(PCA_Magnitude, 6) AS PCA_Magnitude, PCA_Extreme_Count FROM feat""",
+)
+def f_enriched_features(spark, sf):
+    """The eight engineered columns per transaction (notebook variants)."""
+    df = enriched(spark, sf)
+    return df.select(
+        "event_id", F.round("Hour", 6).alias("Hour"), "Day", "Is_Night", "Is_Weekend", F.round("Amount_log", 6).alias("Amount_log"),
+        "Amount_Category", F.round("PCA_Magnitude", 6).alias("PCA_Magnitude"), "PCA_Extreme_Count",
+    )
+
+
+@query(
+    "f_module_variants",
+    with_ctes(TX)
+    + f"""SELECT event_id,
+  CAST(((("Time" / 3600.0) % 24.0) >= 22 OR (("Time" / 3600.0) % 24.0) < 6) AS INTEGER) AS Is_Night,
+  CASE WHEN Amount IS NULL OR Amount <= 0 THEN -1 WHEN Amount <= 10 THEN 0 WHEN Amount <= 50 THEN 1
+       WHEN Amount <= 200 THEN 2 WHEN Amount <= 1000 THEN 3 ELSE 4 END AS Amount_Category,
+  {__import__('riskline.plans.sql', fromlist=['extreme_count_sql']).extreme_count_sql(2.0)} AS PCA_Extreme_Count
+FROM transactions""",
+)
+def f_module_variants(spark, sf):
+    """F3/F6/F8 library-module variants: hour < 6, five right-closed bins, |V| > 2."""
+    df = fz.enrich(fx.transactions(spark, sf), night_variant="module", category_variant="five_bin", extreme_threshold=2.0)
+    return df.select("event_id", "Is_Night", "Amount_Category", "PCA_Extreme_Count")
+
+
+@query(
+    "f_amount_category_large",
+    """WITH li AS (SELECT l_extendedprice / 100.0 AS Amount FROM lineitem)
+SELECT CASE WHEN Amount IS NULL OR Amount <= 0 THEN -1 WHEN Amount <= 10 THEN 0 WHEN Amount <= 50 THEN 1
+       WHEN Amount <= 200 THEN 2 WHEN Amount <= 1000 THEN 3 ELSE 4 END AS five_bin,
+  CASE WHEN Amount > 200 THEN 3 WHEN Amount > 50 THEN 2 WHEN Amount > 10 THEN 1 ELSE 0 END AS notebook,
+  count(*) AS n FROM li GROUP BY 1, 2""",
+)
+def f_amount_category_large(spark, sf):
+    """F6 both variants over lineitem prices /100 (reaches the > 1000 top band)."""
+    from riskline.functions import features as fn
+
+    li = fx.lineitem_amounts(spark, sf).select((F.col("Amount") / F.lit(100.0)).alias("Amount"))
+    return li.groupBy(
+        fn.amount_category("Amount", "five_bin").alias("five_bin"), fn.amount_category("Amount", "notebook").alias("notebook")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "f11_default_transaction_id",
+    with_ctes(TX)
+    + """SELECT event_id, coalesce(CASE WHEN Class = 1 THEN 'FR-' || CAST(event_id AS VARCHAR) END, 'txn_' || CAST(event_id AS VARCHAR)) AS transaction_id
+FROM transactions""",
+)
+def f11_default_transaction_id(spark, sf):
+    """keep a supplied id, else a per-row ``txn_<key>`` id."""
+    from riskline.functions import features as fn
+
+    tx = fx.transactions(spark, sf).withColumn(
+        "transaction_id", F.when(F.col("Class") == 1, F.concat(F.lit("FR-"), F.col("event_id").cast("string")))
+    )
+    return tx.select("event_id", fn.default_transaction_id("transaction_id", "event_id").alias("transaction_id"))
+
+
+@query(
+    "f12_request_length_check",
+    with_ctes(TX)
+    + """SELECT CASE WHEN Class = 1 THEN 29 ELSE 30 END = 30 AS length_ok, count(*) AS n FROM transactions GROUP BY 1""",
+)
+def f12_request_length_check(spark, sf):
+    """scoring requests with 30 features pass, truncated ones (29) fail."""
+    from riskline.operators.scoring import requests_from_transactions
+    from riskline.functions import features as fn
+
+    req = requests_from_transactions(fx.transactions(spark, sf))
+    req = req.withColumn("features", F.when(F.col("Class") == 1, F.slice("features", 1, 29)).otherwise(F.col("features")))
+    return req.groupBy(fn.features_length_ok("features").alias("length_ok")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- predicates and projections (P1-P7) -------------------------------------------------
+
+@query("p1_fraud_rows", with_ctes(TX) + 'SELECT event_id, "Time", Amount FROM transactions WHERE Class = 1')
+def p1_fraud_rows(spark, sf):
+    """Split by class (fraud side)."""
+    return fx.transactions(spark, sf).where(F.col("Class") == 1).select("event_id", "Time", "Amount")
+
+
+@query(
+    "p2_amount_bound_counts",
+    with_ctes(TX) + "SELECT Class, count(CASE WHEN Amount <= 300 THEN 1 END) AS n_le_300, count(*) AS n_le_500 FROM transactions WHERE Amount <= 500 GROUP BY Class",
+)
+def p2_amount_bound_counts(spark, sf):
+    """Rows under the 300 and 500 amount bounds, per class."""
+    tx = fx.transactions(spark, sf).where(F.col("Amount") <= F.lit(500.0))
+    return tx.groupBy("Class").agg(
+        F.count(F.when(F.col("Amount") <= F.lit(300.0), F.lit(1))).alias("n_le_300"), F.count(F.lit(1)).alias("n_le_500")
+    )
+
+
+@query(
+    "p3_night_rows",
+    with_ctes(TX, FEAT) + "SELECT event_id, round(Hour, 6) AS Hour, Class FROM feat WHERE Hour >= 22 OR Hour <= 6",
+)
+def p3_night_rows(spark, sf):
+    """Night predicate with OR."""
+    df = enriched(spark, sf)
+    return df.where((F.col("Hour") >= 22) | (F.col("Hour") <= 6)).select("event_id", F.round("Hour", 6).alias("Hour"), "Class")
+
+
+@query(
+    "p4_feature_selection",
+    with_ctes(TX) + "SELECT event_id, " + ", ".join(V_COLS) + " FROM transactions",
+)
+def p4_feature_selection(spark, sf):
+    """Select the component columns by name prefix."""
+    df = fx.transactions(spark, sf)
+    return df.select("event_id", *[c for c in df.columns if c.startswith("V")])
+
+
+@query(
+    "p5_schema_alignment",
+    with_ctes(TX, FEAT) + "SELECT event_id, Amount, round(Amount_log, 6) AS Amount_log, 0 AS Amount_Daily_Zscore, Is_Night, Class FROM feat",
+)
+def p5_schema_alignment(spark, sf):
+    """P5: align to a fitted feature list; absent columns become 0, label last."""
+    from riskline.operators.scale import align_to_features
+
+    df = enriched(spark, sf).withColumn("Amount_log", F.round("Amount_log", 6))
+    return align_to_features(df, ["event_id", "Amount", "Amount_log", "Amount_Daily_Zscore", "Is_Night"], label="Class")
+
+
+@query("p6_drop_target", with_ctes(TX) + 'SELECT event_id, "Time", ' + ", ".join(V_COLS) + ", Amount FROM transactions")
+def p6_drop_target(spark, sf):
+    """Drop the label column."""
+    return fx.transactions(spark, sf).drop("Class")
+
+
+@query(
+    "p7_bool_to_int",
+    with_ctes(TX) + "SELECT event_id, CAST(Amount > 100 AS INTEGER) AS high_amount FROM transactions",
+)
+def p7_bool_to_int(spark, sf):
+    """Boolean predicate cast to 0/1."""
+    return fx.transactions(spark, sf).select("event_id", (F.col("Amount") > 100).cast("int").alias("high_amount"))
+
+
+# ---- set operations (U1-U3) --------------------------------------------------------------
+
+@query(
+    "u1_union_by_class",
+    with_ctes(TX) + "SELECT Class, count(*) AS n FROM (SELECT * FROM transactions WHERE Class = 0 UNION ALL SELECT * FROM transactions WHERE Class = 1) GROUP BY Class",
+)
+def u1_union_by_class(spark, sf):
+    """Union-all of the class-split halves (by name)."""
+    tx = fx.transactions(spark, sf)
+    u = tx.where(F.col("Class") == 0).unionByName(tx.where(F.col("Class") == 1))
+    return u.groupBy("Class").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "u2_dedup_rows",
+    with_ctes(TX, "d AS (SELECT * EXCLUDE (event_id) FROM transactions UNION ALL SELECT * EXCLUDE (event_id) FROM transactions WHERE event_id % 10 = 0)")
+    + 'SELECT count(*) AS rows_after, (SELECT count(*) FROM d) AS rows_before FROM (SELECT DISTINCT * FROM d)',
+)
+def u2_dedup_rows(spark, sf):
+    """Whole-row dedup of the table with every 10th row duplicated."""
+    d = fx.transactions_with_duplicates(spark, sf)
+    before = d.agg(F.count(F.lit(1)).alias("rows_before"))
+    after = fz.drop_duplicates(d).agg(F.count(F.lit(1)).alias("rows_after"))
+    return after.withColumn("_k", F.lit(1)).join(before.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+@query("u3_distinct_pairs", with_ctes(TX) + 'SELECT DISTINCT "Time", Amount FROM transactions')
+def u3_distinct_pairs(spark, sf):
+    """Distinct (Time, Amount)."""
+    return fx.transactions(spark, sf).select("Time", "Amount").distinct()
+
+
+# ---- cleaning (C2-C4, W1) ----------------------------------------------------------------
+
+@query(
+    "c2_median_imputation",
+    with_ctes(TX, "t AS (SELECT event_id, CASE WHEN event_id % 97 = 0 THEN NULL ELSE Amount END AS Amount FROM transactions)")
+    + "SELECT event_id, coalesce(Amount, (SELECT quantile_cont(Amount, 0.5) FROM t)) AS Amount FROM t",
+)
+def c2_median_imputation(spark, sf):
+    """Exact-median imputation of missing Amount."""
+    df = fx.transactions_with_nulls(spark, sf).select("event_id", "Amount")
+    return fz.impute_median(df, ["Amount"])
+
+
+@query(
+    "c3_outlier_filter",
+    with_ctes(TX, "s AS (SELECT avg(Amount) AS m, stddev_samp(Amount) AS sd FROM transactions)")
+    + "SELECT event_id, Amount FROM transactions, s WHERE abs((Amount - s.m) / s.sd) <= 3.0",
+)
+def c3_outlier_filter(spark, sf):
+    """Keep |z| <= 3 on Amount (sample std)."""
+    return fz.filter_amount_outliers(fx.transactions(spark, sf).select("event_id", "Amount"))
+
+
+@query(
+    "c4_iqr_filter",
+    """WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
+SELECT count(*) AS kept, min(l_extendedprice) AS kept_min, max(l_extendedprice) AS kept_max FROM lineitem, q
+WHERE l_extendedprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""",
+)
+def c4_iqr_filter(spark, sf):
+    """C4: IQR x1.5 rule on large amounts (lineitem prices)."""
+    kept = fz.iqr_filter(fx.lineitem_amounts(spark, sf), "Amount")
+    return kept.agg(F.count(F.lit(1)).alias("kept"), F.min("Amount").alias("kept_min"), F.max("Amount").alias("kept_max"))
+
+
+@query(
+    "c4_percentile_cap",
+    """WITH q AS (SELECT quantile_cont(l_extendedprice, 0.995) AS cap FROM lineitem)
+SELECT round(sum(least(l_extendedprice, cap)), 4) AS capped_sum, round(max(least(l_extendedprice, cap)), 6) AS capped_max FROM lineitem, q""",
+)
+def c4_percentile_cap(spark, sf):
+    """C4: cap at the exact 99.5th percentile."""
+    capped = fz.percentile_cap(fx.lineitem_amounts(spark, sf), "Amount", 0.995)
+    return capped.agg(F.round(F.sum("Amount"), 4).alias("capped_sum"), F.round(F.max("Amount"), 6).alias("capped_max"))
+
+
+@query(
+    "w1_daily_zscore",
+    with_ctes(TX, FEAT, "s AS (SELECT Day, avg(Amount) AS m, stddev_samp(Amount) AS sd FROM feat GROUP BY Day)")
+    + "SELECT f.event_id, f.Day, round((f.Amount - s.m) / (coalesce(s.sd, 0.0) + 1e-8), 6) AS Amount_Daily_Zscore FROM feat f JOIN s ON f.Day = s.Day",
+)
+def w1_daily_zscore(spark, sf):
+    """Daily z-score of Amount (aggregate + size-checked broadcast join)."""
+    df = fz.add_daily_zscore(enriched(spark, sf))
+    return df.select("event_id", "Day", F.round("Amount_Daily_Zscore", 6).alias("Amount_Daily_Zscore"))
