@@ -10,6 +10,7 @@ _MODULES = [
     "riskline.plans.q_validate",
     "riskline.plans.q_explore",
     "riskline.plans.q_prepare",
+    "riskline.plans.q_monitor",
 ]
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskline.session import tune
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,7 +30,13 @@ def query(qid: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if qid in REGISTRY:
             raise ValueError(f"duplicate query id {qid}")
-        REGISTRY[qid] = Query(qid, fn, sql, (fn.__doc__ or "").strip())
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[qid] = Query(qid, run, sql, (fn.__doc__ or "").strip())
         return fn
 
     return deco

@@ -30,8 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    return tune(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -56,3 +55,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+# Runtime SQL settings every riskline plan expects.  Constraint propagation infers
+# predicates through every alias; with the 28-term feature expressions of the
+# transaction schema repeated across unions it grows exponentially and can exhaust
+# the driver heap while optimizing, so it is turned off (no pushdown is lost: filters
+# are still pushed by the regular rules).
+RUNTIME_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark

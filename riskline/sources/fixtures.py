@@ -101,3 +101,34 @@ def labels_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("Amount"))
+
+
+def monitoring_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched transactions with the deterministic ``scored`` prediction columns."""
+    from riskline.operators.featurize import enrich
+
+    tx = enrich(transactions(spark, sf_dir))
+    u = F.pmod(F.col("event_id") * F.lit(48271), F.lit(1000)) / F.lit(1000.0)
+    score = u * F.lit(0.5) + F.col("Class") * F.lit(0.5)
+    return tx.select("event_id", F.col("Class").alias("y_true"), score.alias("score"),
+                     (score >= F.lit(0.7)).cast("int").alias("y_pred"), "Amount", "Hour", "PCA_Magnitude",
+                     "Is_Night", "PCA_Extreme_Count", "Time")
+
+
+def model_predictions(spark: SparkSession, sf_dir: str, threshold: float = 0.7) -> DataFrame:
+    """Three deterministic scorers over the same rows (model comparison input)."""
+    m = monitoring_input(spark, sf_dir)
+    scores = {
+        "lcg_blend": F.col("score"),
+        "amount_scaled": F.least(F.col("Amount") / F.lit(300.0), F.lit(1.0)),
+        "extreme_night": (F.col("PCA_Extreme_Count") > 0).cast("double") * F.lit(0.5) + F.col("Is_Night") * F.lit(0.5),
+    }
+    parts = [
+        m.select(F.lit(name).alias("model"), "event_id", "y_true", s.alias("score"),
+                 (s >= F.lit(threshold)).cast("int").alias("y_pred"))
+        for name, s in scores.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
