@@ -77,7 +77,10 @@ def assign_periods(df: DataFrame, key: str = "event_id", period_rows: int = PERI
     ranked = row_numbers(df, [key], out="_rl_rn")
     period = F.when(F.col("_rl_rn") <= F.lit(nb), F.lit(0)).otherwise(
         F.floor((F.col("_rl_rn") - F.lit(nb) - F.lit(1)) / F.lit(period_rows)).cast("int") + F.lit(1))
-    return ranked.withColumn("period", period.cast("int")).drop("_rl_rn")
+    # The period table feeds several passes (metrics, baseline CDF, period CDFs);
+    # a reliable checkpoint in the shared checkpoint folder cuts the lineage once
+    # instead of re-running scan + join + ranking per pass, and survives lost executors.
+    return ranked.withColumn("period", period.cast("int")).drop("_rl_rn").checkpoint(eager=True)
 
 
 def ks_per_period(periods: DataFrame, features: list[str]) -> DataFrame:

@@ -30,7 +30,7 @@ def amount_by_class(df: DataFrame, amount: str = "Amount", label: str = "Class")
 
 def to_long(df: DataFrame, columns: list[str], keep: list[str], name: str = "feature", value: str = "value") -> DataFrame:
     """Unpivot ``columns`` into (name, value) rows, values cast to double."""
-    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(keep, columns, name, value)
+    return df.selectExpr(*[f"`{k}`" for k in keep], *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns]).unpivot(keep, columns, name, value)
 
 
 def five_number_summary(df: DataFrame, columns: list[str], label: str = "Class") -> DataFrame:
@@ -112,7 +112,7 @@ def extreme_by_class(df: DataFrame, label: str = "Class") -> DataFrame:
 
 def abs_correlations(df: DataFrame, columns: list[str], label: str = "Class") -> DataFrame:
     """|Pearson r| of each column with the label, one aggregate pass."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in columns])
+    row = df.agg(*[F.expr(f"corr(CAST(`{c}` AS DOUBLE), CAST(`{label}` AS DOUBLE)) AS `{c}`") for c in columns])
     return row.unpivot([], columns, "feature", "corr").select("feature", r6(F.abs(F.col("corr"))).alias("abs_corr"))
 
 

@@ -7,8 +7,6 @@ per-column NULL/NaN counts, ranges, class counts); the ordered rule chain is a S
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,8 +75,16 @@ def _quality_columns(
     ]
 
 
+def _missing_sql(df: DataFrame, c: str) -> str:
+    dt = df.schema[c].dataType
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return f"CAST(`{c}` IS NULL OR isnan(`{c}`) AS BIGINT)"
+    return f"CAST(`{c}` IS NULL AS BIGINT)"
+
+
 def _missing_cells(df: DataFrame) -> Column:
-    return reduce(add, [_is_missing(df, c).cast("long") for c in df.columns], F.lit(0).cast("long"))
+    """Missing (NULL or NaN) cells of one row, as one SQL expression."""
+    return F.expr(" + ".join(["CAST(0 AS BIGINT)", *[_missing_sql(df, c) for c in df.columns]]))
 
 
 def dataset_quality(

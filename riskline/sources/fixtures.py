@@ -24,18 +24,28 @@ def seconds_since(ts_col: str, epoch: str = EPOCH):
     return (F.unix_micros(ts) - F.unix_micros(F.lit(epoch).cast("timestamp"))) / F.lit(1e6)
 
 
+_COUNTS: dict[tuple[int, str, str], int] = {}
+
+
+def _row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    key = (id(spark._jsparkSession), sf_dir, name)
+    if key not in _COUNTS:
+        _COUNTS[key] = read_table(spark, sf_dir, name).count()
+    return _COUNTS[key]
+
+
 def transactions(spark: SparkSession, sf_dir: str, *, with_key: bool = True) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    n_vec = emb.count()  # one scalar; also the size check for the broadcast below
+    n_vec = _row_count(spark, sf_dir, "embeddings")  # one scalar; also the size check for the broadcast
     side = F.broadcast(emb) if n_vec <= BROADCAST_MAX_ROWS else emb
     joined = ev.join(side, F.pmod(ev["event_id"], F.lit(n_vec)) == side["vec_id"])
-    cols = [F.col("event_id")] if with_key else []
-    cols.append(seconds_since("ts").alias("Time"))
-    cols += [(F.col("embedding")[i].cast("double") * F.lit(8.0)).alias(f"V{i + 1}") for i in range(28)]
-    cols.append(F.col("value").alias("Amount"))
-    cols.append(((F.col("event_type") == "error") & (F.col("value") > 150)).cast("int").alias("Class"))
-    return joined.select(*cols)
+    cols = ["event_id"] if with_key else []
+    cols.append(f"(unix_micros(CAST(ts AS TIMESTAMP)) - unix_micros(TIMESTAMP '{EPOCH}')) / 1e6 AS `Time`")
+    cols += [f"CAST(embedding[{i}] AS DOUBLE) * 8.0 AS V{i + 1}" for i in range(28)]
+    cols.append("value AS Amount")
+    cols.append("CAST(event_type = 'error' AND value > 150 AS INT) AS Class")
+    return joined.selectExpr(*cols)
 
 
 def transactions_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:

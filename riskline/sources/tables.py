@@ -21,8 +21,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan of one input table.
+
+    The resolved relation (file listing + footer schema) is reused within a session:
+    inputs are immutable, and re-listing them for every query costs more than the
+    small-scale queries themselves.  Catalyst still prunes columns and pushes filters
+    per query, since each query builds its own plan on top of the relation."""
+    key = (id(spark._jsparkSession), table_path(sf_dir, name))
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = spark.read.parquet(key[1])
+        _READ_CACHE[key] = df
+    return df
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
