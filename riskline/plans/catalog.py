@@ -11,6 +11,7 @@ _MODULES = [
     "riskline.plans.q_explore",
     "riskline.plans.q_prepare",
     "riskline.plans.q_monitor",
+    "riskline.plans.q_logs",
 ]
 
 
