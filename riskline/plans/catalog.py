@@ -12,6 +12,7 @@ _MODULES = [
     "riskline.plans.q_prepare",
     "riskline.plans.q_monitor",
     "riskline.plans.q_logs",
+    "riskline.plans.q_balance",
 ]
 
 
