@@ -13,6 +13,7 @@ _MODULES = [
     "riskline.plans.q_monitor",
     "riskline.plans.q_logs",
     "riskline.plans.q_balance",
+    "riskline.plans.q_stream",
 ]
 
 
