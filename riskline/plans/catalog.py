@@ -14,6 +14,7 @@ _MODULES = [
     "riskline.plans.q_logs",
     "riskline.plans.q_balance",
     "riskline.plans.q_stream",
+    "riskline.plans.q_models",
 ]
 
 
