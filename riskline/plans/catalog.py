@@ -15,6 +15,7 @@ _MODULES = [
     "riskline.plans.q_balance",
     "riskline.plans.q_stream",
     "riskline.plans.q_models",
+    "riskline.plans.q_synth",
 ]
 
 
