@@ -137,3 +137,34 @@ def balanced_dataset(df: DataFrame, synthetic: DataFrame | None, features: list[
 def quality_band(score) -> F.Column:
     """Status band of a quality score."""
     return F.when(score >= QUALITY_GOOD, F.lit("good")).when(score >= QUALITY_FAIR, F.lit("fair")).otherwise(F.lit("poor"))
+
+
+def svm_smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label: str = "Class", key: str = "event_id",
+              ratio: float = SAMPLING_RATIO, k: int = K_NEIGHBORS, seed: int = SEED, minority: int = 1) -> DataFrame | None:
+    """SMOTE from the minority rows on or inside a linear SVM's margin.
+
+    The SVM is Spark ML's ``LinearSVC`` on standardised features; rows with
+    |decision value| <= 1 are the margin rows (all minority rows when none is)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    spark = df.sparkSession
+    n_min, n_maj = class_counts(df, label, minority)
+    n_new = n_synthetic(n_min, n_maj, ratio)
+    if n_new == 0 or n_min <= k:
+        return None
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep"),
+                            StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
+                            LinearSVC(featuresCol="_x", labelCol=label, maxIter=50)])
+    model = pipe.fit(df)
+    margin = vector_to_array(F.col("rawPrediction"))[1]
+    scored = model.transform(df.where(F.col(label) == minority)).select(F.col(key).alias("id"), margin.alias("_m"))
+    support = scored.where(F.abs(F.col("_m")) <= 1.0).select("id")
+    if support.limit(1).count() == 0:
+        support = scored.select("id")
+    vecs = _vec(df.where(F.col(label) == minority), features, key)
+    nn = knn(support, vecs, k)
+    bases = row_numbers(support, ["id"], out="rn")
+    return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label)

@@ -16,6 +16,7 @@ _MODULES = [
     "riskline.plans.q_stream",
     "riskline.plans.q_models",
     "riskline.plans.q_synth",
+    "riskline.plans.q_io",
 ]
 
 
