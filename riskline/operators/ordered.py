@@ -39,6 +39,8 @@ def _cut_points(df: DataFrame, col: str, n_buckets: int, accuracy: int = 20000)
 
 
 def _with_bucket(df: DataFrame, col: str, cuts: list[float], descending: bool) -> DataFrame:
+    if not cuts:  # a single bucket (tiny or constant input)
+        return df.withColumn(_B, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
     tmp = "_rl_bucket_in"
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=_B, handleInvalid="keep").transform(

@@ -58,7 +58,8 @@ def _quality_columns(
     ]
     if missing_cols:
         early.append((F.lit(True), F.lit(MSG_MISSING_COLS.format(cols=_py_list_repr(missing_cols)))))
-    pct_check = (pct > F.lit(limit), F.format_string(MSG_TOO_MANY_MISSING.format(pct="%.2f", limit=repr(float(limit))), pct))
+    pattern = MSG_TOO_MANY_MISSING.replace("%", "%%").format(pct="%.2f", limit=repr(float(limit)))
+    pct_check = (pct > F.lit(limit), F.format_string(pattern, pct))
     msg, valid, reached_pct = F.lit(MSG_VALID), F.lit(True), F.lit(True)
     for cond, text in reversed([*early, pct_check]):
         msg = F.when(cond, text).otherwise(msg)

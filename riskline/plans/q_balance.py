@@ -27,7 +27,7 @@ _CNT = "cnt AS (SELECT count(CASE WHEN Class = 1 THEN 1 END) AS n_min, count(CAS
 
 
 def _gen_sql(bases: str, n_base: str) -> str:
-    idx = f"({lcg_int_sql('j', '1')} % ({n_base} * 5))"
+    idx = f"({lcg_int_sql('j', '1')} % nullif({n_base} * 5, 0))"  # no base rows -> no synthetic rows
     return f"""gen AS (SELECT j AS synthetic_id, CAST(floor({idx} / 5) AS BIGINT) + 1 AS base_rn, CAST({idx} % 5 AS INTEGER) + 1 AS nn_rank,
     {lcg_uniform_sql('j', '2')} AS gap
   FROM (SELECT unnest(range(0, CAST(floor(CAST(0.1 AS DOUBLE) * n_maj) AS BIGINT) - n_min)) AS j FROM cnt)),
