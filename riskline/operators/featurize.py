@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from riskline.functions import features as fx
 from riskline.operators.ordered import exact_quantiles
-from riskline.sources.tables import checked_broadcast
 
 # fixed values (reference defaults)
 OUTLIER_Z = 3.0
@@ -74,13 +73,14 @@ def add_daily_zscore(df: DataFrame, day_col: str = "Day", amount: str = "Amount"
 
     Written as aggregate + join rather than ``Window.partitionBy(Day)``: a window puts a
     whole day into one task, while the aggregate is map-side combined and the per-day
-    table (one row per day) is broadcast after a size check.  A one-row day has no
+    table (one row per day) is broadcast by AQE from its measured size (no extra job
+    to count it).  A one-row day has no
     sample std; we use 0 there (our choice), which gives z = 0.
     """
     stats = daily_stats(df, day_col, amount).select(day_col, "amount_day_mean", "amount_day_std")
     z = (F.col(amount) - F.col("amount_day_mean")) / (F.coalesce(F.col("amount_day_std"), F.lit(0.0)) + F.lit(DAILY_Z_EPS))
     return (
-        df.join(checked_broadcast(stats), on=day_col, how="left")
+        df.join(stats, on=day_col, how="left")
         .withColumn("Amount_Daily_Zscore", z)
         .drop("amount_day_mean", "amount_day_std")
     )

@@ -9,7 +9,7 @@ operators here (running totals, exact quantiles, row numbers) instead:
    (a list of at most ``n_buckets`` doubles collected once: the only driver data);
 3. run the window per (group, bucket), so each window task holds ~1/n of the rows;
 4. add per-(group, bucket) offsets from a table of at most groups x buckets rows,
-   broadcast behind a size check.
+   joined back (AQE broadcasts it from its measured runtime size).
 
 Cut points are literals, so every recomputation (retry after a lost executor,
 second consumer of the same frame) buckets rows identically.
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline.session import shuffle_partitions
-from riskline.sources.tables import checked_broadcast
 
 _B = "_rl_bucket"
 
@@ -87,7 +86,10 @@ def _bucketed_running(
     )
     w = Window.partitionBy(*group, _B).orderBy(*_order_cols(order, descending)).rowsBetween(Window.unboundedPreceding, 0)
     run = b.select(*keep, _B, *[F.col(f"_rl_v_{n}") for n in names], *[F.sum(f"_rl_v_{n}").over(w).alias(f"_rl_r_{n}") for n in names])
-    joined = run.join(checked_broadcast(offsets), on=[*group, _B])
+    # ``offsets`` has one row per (group, bucket).  No explicit hint: a count to prove
+    # its size would re-run the whole upstream plan, while AQE turns this join into a
+    # broadcast from the measured size of the materialized offsets stage.
+    joined = run.join(offsets, on=[*group, _B])
     return joined.select(
         *keep,
         *[F.col(f"_rl_v_{n}").alias(n) for n in names],

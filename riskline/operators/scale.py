@@ -74,6 +74,29 @@ def fit_robust(df: DataFrame, cols: list[str]) -> ScalerModel:
     return ScalerModel("robust", params)
 
 
+def fit_scalers(df: DataFrame, standard: list[str], robust: list[str], minmax: list[str]) -> list[ScalerModel]:
+    """C8-C10 together: one aggregate pass for the standard and min-max statistics,
+    the bucketed exact-quantile pass for the robust columns."""
+    aggs = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(standard)]
+    aggs += [F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(standard)]
+    aggs += [F.min(c).alias(f"lo_{i}") for i, c in enumerate(minmax)]
+    aggs += [F.max(c).alias(f"hi_{i}") for i, c in enumerate(minmax)]
+    out = []
+    if aggs:
+        row = df.agg(*aggs).first()
+        if standard:
+            out.append(ScalerModel("standard", {c: (row[f"m_{i}"] or 0.0, _safe(row[f"s_{i}"])) for i, c in enumerate(standard)}))
+        if minmax:
+            mm = {}
+            for i, c in enumerate(minmax):
+                lo, hi = row[f"lo_{i}"], row[f"hi_{i}"]
+                mm[c] = (float(lo or 0.0), _safe(None if lo is None else float(hi) - float(lo)))
+            out.append(ScalerModel("minmax", mm))
+    if robust:
+        out.append(fit_robust(df, robust))
+    return out
+
+
 def align_to_features(df: DataFrame, features: list[str], label: str | None = "Class") -> DataFrame:
     """P5: fixed feature order, absent features as 0, label last when present."""
     cols = [F.col(c) if c in df.columns else F.lit(0).alias(c) for c in features]
@@ -122,11 +145,7 @@ class Preprocessor:
             clean = fz.filter_amount_outliers(clean, self.cfg["outlier_threshold"])
         feats = self._features(clean)
         present = lambda cols: [c for c in cols if c in feats.columns]
-        self.scalers = [s for s in (
-            fit_standard(feats, present(STANDARD_COLS)) if present(STANDARD_COLS) else None,
-            fit_robust(feats, present(ROBUST_COLS)) if present(ROBUST_COLS) else None,
-            fit_minmax(feats, present(MINMAX_COLS)) if present(MINMAX_COLS) else None,
-        ) if s is not None]
+        self.scalers = fit_scalers(feats, present(STANDARD_COLS), present(ROBUST_COLS), present(MINMAX_COLS))
         self.feature_names = [c for c in feats.columns if c not in ("Class", "event_id")]
         self.is_fitted = True
         return self

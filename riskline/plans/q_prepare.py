@@ -41,7 +41,7 @@ def c8_c10_scaled_features(spark, sf):
     """Standard (population std), robust (exact median / IQR) and min-max scaling."""
     df = _feat_dz(spark, sf)
     out = df
-    for m in (sc.fit_standard(df, sc.STANDARD_COLS), sc.fit_robust(df, sc.ROBUST_COLS), sc.fit_minmax(df, sc.MINMAX_COLS)):
+    for m in sc.fit_scalers(df, sc.STANDARD_COLS, sc.ROBUST_COLS, sc.MINMAX_COLS):
         out = m.transform(out)
     cols = [*sc.STANDARD_COLS, *sc.ROBUST_COLS, *sc.MINMAX_COLS]
     return out.select("event_id", *[F.round(c, 6).alias(c) for c in cols])
