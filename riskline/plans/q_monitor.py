@@ -319,3 +319,31 @@ def d7_recommendations(spark, sf):
 def d8_retraining_summary(spark, sf):
     """Periods flagged for retraining, their count and the first one."""
     return dr.retraining_summary(_monitoring(spark, sf))
+
+
+@query(
+    "j4_truth_prediction_join",
+    with_ctes(TX, SCORED)
+    + """, truth AS (SELECT event_id, Class FROM transactions), pred AS (SELECT event_id, y_pred FROM scored)
+SELECT count(CASE WHEN t.Class = 1 AND p.y_pred = 1 THEN 1 END) AS tp, count(CASE WHEN t.Class <> 1 AND p.y_pred = 1 THEN 1 END) AS fp,
+  count(CASE WHEN t.Class = 1 AND p.y_pred <> 1 THEN 1 END) AS fn, count(CASE WHEN t.Class <> 1 AND p.y_pred <> 1 THEN 1 END) AS tn, count(*) AS n
+FROM truth t JOIN pred p ON t.event_id = p.event_id""",
+)
+def j4_truth_prediction_join(spark, sf):
+    """Ground truth joined to predictions on the transaction id (not by position),
+    then the confusion counts.  Both sides are large: a shuffle (sort-merge) join."""
+    truth = fx.transactions(spark, sf).select("event_id", F.col("Class").alias("y_true"))
+    pred = fx.scored(spark, sf).select("event_id", "y_pred")
+    return mt.confusion(truth.join(pred, "event_id"))
+
+
+@query(
+    "t6_last_alerts",
+    _MON_CTES + ", " + _ALERTS_SQL
+    + " SELECT period, type, metric, round(value, 6) AS value FROM al WHERE type IS NOT NULL ORDER BY period DESC, k DESC LIMIT 5",
+)
+def t6_last_alerts(spark, sf):
+    """The five most recent alerts (latest period first, then drift / FP / detection)."""
+    a = dr.alerts(_monitoring(spark, sf))
+    k = F.when(F.col("metric") == "detection_rate", 1).when(F.col("metric") == "false_positive_rate", 2).otherwise(3)
+    return a.orderBy(F.col("period").desc(), k.desc()).limit(5).select("period", "type", "metric", F.round("value", 6).alias("value"))
