@@ -40,6 +40,35 @@ def _projection_index(points: DataFrame, vec: str) -> int:
 
 
 def knn(queries: DataFrame, points: DataFrame, k: int, key: str = "id", vec: str = "vec", exclude_self: bool = True) -> DataFrame:
+    """(qid, rank, pid, dist) for the k nearest points of every query id (ties by id).
+
+    Exact duplicate vectors are collapsed first, so a vector shared by many rows (a
+    hot group) never produces all pairs: the band join runs over distinct vectors,
+    and each duplicate group contributes only its k+1 smallest ids, found with the
+    bucketed row-number operator (no single task per group)."""
+    pts = points.select(F.col(key).alias("id"), F.col(vec).alias("vec"))
+    reps = pts.groupBy("vec").agg(F.min("id").alias("rep"))
+    # distinct-vector neighbours, keeping every tie at the k-th distance
+    dn = _knn_distinct(reps.select(F.col("rep").alias("id"), "vec"), k)
+    members = row_numbers(pts, ["id"], group=["vec"], out="mrank").where(F.col("mrank") <= k + 1)
+    members = members.join(reps, "vec").select("rep", F.col("id").alias("pid"), "mrank")
+    same = members.select(F.col("rep").alias("qrep"), "pid", F.lit(0.0).alias("dist"))
+    other = dn.join(members.where(F.col("mrank") <= k).withColumnRenamed("rep", "prep"), "prep").select("qrep", "pid", "dist")
+    cand = same.unionByName(other)
+    q = queries.select(F.col(key).alias("qid")).join(pts.withColumnRenamed("id", "qid"), "qid").join(reps, "vec").select(
+        "qid", F.col("rep").alias("qrep"))
+    j = q.join(cand, "qrep")
+    if exclude_self:
+        j = j.where(F.col("pid") != F.col("qid"))
+    top = j.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))).where(F.col("rank") <= k)
+    return top.select("qid", "rank", "pid", "dist")
+
+
+def _knn_distinct(points: DataFrame, k: int, key: str = "id", vec: str = "vec") -> DataFrame:
+    """(qrep, prep, dist): for every point, all points within its k-th nearest
+    distance (so ties at the boundary are kept).  Points have distinct vectors."""
+    queries = points
+    exclude_self = True
     """(qid, rank, pid, dist) for the k nearest points of every query id.
 
     ``queries`` holds the ids to answer (each must also be in ``points``);
@@ -79,5 +108,7 @@ def knn(queries: DataFrame, points: DataFrame, k: int, key: str = "id", vec: str
     if exclude_self:
         band = band.where(F.col("pid") != F.col("qid"))
     band = band.select("qid", "pid", "r", F.expr(dist_expr("qvec", "pvec")).alias("dist")).where(F.col("dist") <= F.col("r"))
-    top = band.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))).where(F.col("rank") <= k)
-    return top.select("qid", "rank", "pid", "dist")
+    kth_d = F.max(F.when(F.col("_r") == k, F.col("dist"))).over(Window.partitionBy("qid"))
+    ranked_band = band.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid")))
+    keep = ranked_band.withColumn("_kd", kth_d).where(F.col("_kd").isNull() | (F.col("dist") <= F.col("_kd")))
+    return keep.select(F.col("qid").alias("qrep"), F.col("pid").alias("prep"), "dist")

@@ -148,3 +148,15 @@ def test_day_zscore_single_row_day_is_zero(spark):
     z = {(r.Day, r.Amount): r.Amount_Daily_Zscore for r in add_daily_zscore(df).collect()}
     assert z[(0, 5.0)] == 0.0
     assert z[(1, 1.0)] == pytest.approx(-1 / math.sqrt(2), rel=1e-6)
+
+
+def test_knn_with_hot_duplicate_group(spark):
+    rng = np.random.default_rng(5)
+    pts = np.round(rng.normal(size=(120, 3)) * np.array([20, 1, 1]), 2)
+    pts[:60] = pts[0]  # half of the rows share one vector
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)], "id long, vec array<double>")
+    got = {(r.qid, r.rank): r.pid for r in knn(df, df, 5).collect()}
+    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
+    for i in range(len(pts)):
+        order = sorted((d[i, j], j) for j in range(len(pts)) if j != i)[:5]
+        assert [got[(i, r + 1)] for r in range(5)] == [j for _, j in order]
