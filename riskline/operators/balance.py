@@ -64,7 +64,8 @@ def smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label: str = "Cla
     n_new = n_synthetic(n_min, n_maj, ratio)
     if n_new == 0 or n_min <= k:
         return None
-    vecs = _vec(df.where(F.col(label) == minority), features, key)
+    # narrow minority table, reused by every kNN / sampling pass: materialize once
+    vecs = _vec(df.where(F.col(label) == minority), features, key).checkpoint(eager=True)
     nn = knn(vecs, vecs, k)
     bases = row_numbers(vecs.select("id"), ["id"], out="rn")
     return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label)
@@ -72,7 +73,7 @@ def smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label: str = "Cla
 
 def danger_set(df: DataFrame, features: list[str], label: str, key: str, m: int, minority: int) -> DataFrame:
     """Minority rows whose m nearest rows (any class) hold m/2 <= majority < m."""
-    all_vecs = _vec(df, features, key).join(df.select(F.col(key).alias("id"), F.col(label).alias("_y")), "id")
+    all_vecs = _vec(df, features, key).join(df.select(F.col(key).alias("id"), F.col(label).alias("_y")), "id").checkpoint(eager=True)
     mino = all_vecs.where(F.col("_y") == minority)
     nn = knn(mino.select("id"), all_vecs.select("id", "vec"), m)
     lab = all_vecs.select(F.col("id").alias("pid"), F.col("_y").alias("_py"))
@@ -90,8 +91,8 @@ def borderline_smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label:
     n_new = n_synthetic(n_min, n_maj, ratio)
     if n_new == 0 or n_min <= k:
         return None
-    danger = danger_set(df, features, label, key, m, minority).select("id")
-    vecs = _vec(df.where(F.col(label) == minority), features, key)
+    danger = danger_set(df, features, label, key, m, minority).select("id").checkpoint(eager=True)
+    vecs = _vec(df.where(F.col(label) == minority), features, key).checkpoint(eager=True)
     nn = knn(danger, vecs, k)
     bases = row_numbers(danger, ["id"], out="rn")
     return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label)
@@ -161,10 +162,10 @@ def svm_smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label: str =
     model = pipe.fit(df)
     margin = vector_to_array(F.col("rawPrediction"))[1]
     scored = model.transform(df.where(F.col(label) == minority)).select(F.col(key).alias("id"), margin.alias("_m"))
-    support = scored.where(F.abs(F.col("_m")) <= 1.0).select("id")
+    support = scored.where(F.abs(F.col("_m")) <= 1.0).select("id").checkpoint(eager=True)
     if support.limit(1).count() == 0:
         support = scored.select("id")
-    vecs = _vec(df.where(F.col(label) == minority), features, key)
+    vecs = _vec(df.where(F.col(label) == minority), features, key).checkpoint(eager=True)
     nn = knn(support, vecs, k)
     bases = row_numbers(support, ["id"], out="rn")
     return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label)

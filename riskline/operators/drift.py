@@ -72,15 +72,14 @@ def drift_score(ks: DataFrame, group: list[str] = ()) -> DataFrame:
 def assign_periods(df: DataFrame, key: str = "event_id", period_rows: int = PERIOD_ROWS, baseline_fraction: float = 0.25) -> DataFrame:
     """D4 input: rows in key order; the first quarter is the baseline (period 0), the
     rest is cut into consecutive ``period_rows`` periods numbered from 1."""
-    n = df.count()
-    nb = int(n * baseline_fraction)
-    ranked = row_numbers(df, [key], out="_rl_rn")
-    period = F.when(F.col("_rl_rn") <= F.lit(nb), F.lit(0)).otherwise(
-        F.floor((F.col("_rl_rn") - F.lit(nb) - F.lit(1)) / F.lit(period_rows)).cast("int") + F.lit(1))
+    ranked = row_numbers(df, [key], out="_rl_rn", total="_rl_n")
+    nb = F.floor(F.col("_rl_n") * F.lit(baseline_fraction))  # int(n * fraction), from the ranking's own totals
+    period = F.when(F.col("_rl_rn") <= nb, F.lit(0)).otherwise(
+        F.floor((F.col("_rl_rn") - nb - F.lit(1)) / F.lit(period_rows)).cast("int") + F.lit(1))
     # The period table feeds several passes (metrics, baseline CDF, period CDFs);
     # a reliable checkpoint in the shared checkpoint folder cuts the lineage once
     # instead of re-running scan + join + ranking per pass, and survives lost executors.
-    return ranked.withColumn("period", period.cast("int")).drop("_rl_rn").checkpoint(eager=True)
+    return ranked.withColumn("period", period.cast("int")).drop("_rl_rn", "_rl_n").checkpoint(eager=True)
 
 
 def ks_per_period(periods: DataFrame, features: list[str]) -> DataFrame:

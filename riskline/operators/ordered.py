@@ -125,14 +125,19 @@ def row_numbers(
     out: str = "rn",
     descending: bool = False,
     n_buckets: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by group order by order)`` for every row,
+    optionally with the group's row count in column ``total`` (no extra pass),
     computed bucket-wise.  ``order`` (with ``group``) must identify rows uniquely;
     append a key column as the last tie-breaker when it does not."""
     order = [order] if isinstance(order, str) else list(order)
     group = list(group)
     res = _bucketed_running(df, order, {"_rl_one": F.lit(1)}, group, descending, n_buckets, df.columns)
-    return res.withColumn(out, F.col("cum__rl_one").cast("bigint")).drop("_rl_one", "cum__rl_one", "tot__rl_one")
+    res = res.withColumn(out, F.col("cum__rl_one").cast("bigint"))
+    if total is not None:
+        res = res.withColumn(total, F.col("tot__rl_one").cast("bigint"))
+    return res.drop("_rl_one", "cum__rl_one", "tot__rl_one")
 
 
 def exact_quantiles(
