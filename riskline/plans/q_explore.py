@@ -244,7 +244,7 @@ def a17_insights(spark, sf):
   round(PCA_Magnitude, 6) AS PCA_Magnitude, PCA_Extreme_Count FROM feat""",
 )
 def f_enriched_features(spark, sf):
-    """The eight engineered columns per transaction (notebook variants)."""
+    """The eight engineered columns per transaction (notebook variants; abs, sqrt, rounding)."""
     df = enriched(spark, sf)
     return df.select(
         "event_id", F.round("Hour", 6).alias("Hour"), "Day", "Is_Night", "Is_Weekend", F.round("Amount_log", 6).alias("Amount_log"),

@@ -16,7 +16,7 @@ from riskline.streaming import streams as st
     with_ctes(INGESTION) + "SELECT window_start, volume, round(response_time_ms, 6) AS response_time_ms, round(error_rate, 6) AS error_rate FROM ingestion",
 )
 def x1_stream_ingestion_windows(spark, sf):
-    """Streamed 10-minute windows (watermark 10 min), final state."""
+    """Streamed 10-minute windows from the live file source (watermark 10 min), final state."""
     out = st.run_upsert(st.ingestion_windows(st.event_stream(spark, sf)), "x1", ["window_start"])
     return out.select("window_start", "volume", F.round("response_time_ms", 6).alias("response_time_ms"), F.round("error_rate", 6).alias("error_rate"))
 

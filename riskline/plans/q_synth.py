@@ -59,7 +59,7 @@ def b5_gaussian_copula(spark, sf):
 
 @query("b6_b9_generators_ranked")
 def b6_b9_generators_ranked(spark, sf):
-    """Run every generator, score it by 1 - discriminator accuracy, rank, band."""
+    """Run every generator, score it by 1 - discriminator accuracy, sort by quality, band."""
     e = enrich(fx.transactions(spark, sf)).checkpoint(eager=True)
     real = e.where(F.col("Class") == 1)
     gens = {
