@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import exact_dedup, hpyp, language, mixing, ngram_join, packing
+from riskline.llm import exact_dedup, hpyp, language, licenses, mixing, ngram_join, packing, pii, quality, wrapper
 from riskline.llm.common import in_fold
 from riskline.llm.sql import SQL
 from riskline.session import ensure_checkpoint_dir
@@ -31,11 +31,26 @@ def op1_hpyp_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpyp.scores(table(spark, sf_dir, "documents"))
 
 
+def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 4-gram Jaccard similarity."""
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality features and verdict of every document."""
+    return quality.verdicts(table(spark, sf_dir, "documents")).drop("failed_rule")  # its name depends on timings
+
+
+def op5_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data of every document."""
+    return pii.private_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -58,8 +73,13 @@ def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "n_languages")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own or inherited licence of every document."""
+    return licenses.scan(licenses.document_files(table(spark, sf_dir, "documents"))).drop("row_key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hpyp_lm, op3_ngram_jaccard_join, op6_cutting_stock_packing, op7_content_sort_dedup, op8_systematic_mixing, op9_language_mixture)}
+    return {f.__name__: f for f in (op1_hpyp_lm, op2_wrapper_induction, op3_ngram_jaccard_join, op4_quality_cascade, op5_weak_supervision_pii, op6_cutting_stock_packing, op7_content_sort_dedup, op8_systematic_mixing, op9_language_mixture, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

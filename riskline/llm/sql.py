@@ -44,4 +44,56 @@ _COPIES = """CASE WHEN big THEN k1 ELSE least(floor(n_big * e + (r - n_big) * e2
 
 MIX = "WITH " + _MIX.format(docs="documents") + f"SELECT doc_id, size, source_size, target, {_COPIES} * size AS taken FROM mix"
 
-SQL = {"op7_content_sort_dedup": DEDUP, "op8_systematic_mixing": MIX}
+def license_sql() -> str:
+    """op10; the templates are those of the operator."""
+    from riskline.llm.licenses import CUE, NOTICE_WORDS, TEMPLATES, TERM, THRESHOLD
+
+    quoted = ", ".join("({}, '{}', '{}')".format(k, i, t.replace("'", "''")) for k, (i, t) in enumerate(TEMPLATES))
+    return rf"""
+WITH tpl(template, license, notice) AS (VALUES {quoted}),
+doc AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '_') || '/' || coalesce(lang, '_') AS home,
+          regexp_matches(coalesce(text, ''), '{CUE}') AND len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) <= {NOTICE_WORDS} AS lic FROM documents),
+fil AS (SELECT *, home || CASE WHEN lic THEN '' ELSE '/' || coalesce((doc_id // 50)::VARCHAR, '_') END || '/' || coalesce(doc_id::VARCHAR, '_') AS path FROM doc),
+dirs AS (SELECT *, regexp_extract(path, '^(.*)/', 1) AS dir FROM fil),
+said AS (SELECT doc_id, CASE WHEN lic THEN t ELSE array_to_string(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{CUE}')), chr(10)) END AS notice FROM fil),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM said WHERE regexp_matches(notice, '{CUE}')) GROUP BY ALL),
+ttf AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM tpl) GROUP BY ALL),
+n AS (SELECT (SELECT count(DISTINCT doc_id) FROM tf) + (SELECT count(*) FROM tpl) AS n),
+idf AS (SELECT term, ln((SELECT n FROM n)::DOUBLE / count(*)) + 1.0 AS idf FROM (SELECT term FROM tf UNION ALL SELECT term FROM ttf) GROUP BY term),
+tvec AS (SELECT template, license, term, tf * idf AS w FROM ttf JOIN idf USING (term)),
+tnorm AS (SELECT template, sqrt(sum(w * w)) AS tn FROM tvec GROUP BY template),
+vec AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN idf USING (term)),
+norm AS (SELECT doc_id, sqrt(sum(w * w)) AS dn FROM vec GROUP BY doc_id),
+near AS (SELECT v.doc_id, t.license, round(sum(v.w * t.w) / (any_value(dn) * any_value(tn)), 6) AS score
+         FROM vec v JOIN tvec t USING (term) JOIN tnorm USING (template) JOIN norm m ON m.doc_id = v.doc_id GROUP BY v.doc_id, template, t.license),
+own AS (SELECT doc_id, license AS own_license, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) AS r FROM near WHERE score >= {THRESHOLD}) WHERE r = 1),
+plc AS (SELECT d.*, own_license, score FROM dirs d LEFT JOIN own USING (doc_id)),
+bydir AS (SELECT dir AS anc, own_license AS dir_license FROM (SELECT dir, own_license, row_number() OVER (PARTITION BY dir ORDER BY score DESC, own_license) AS r FROM plc WHERE lic AND own_license IS NOT NULL) WHERE r = 1),
+up AS (SELECT dir, k AS depth, array_to_string(list_slice(string_split(dir, '/'), 1, k), '/') AS anc FROM (SELECT DISTINCT dir FROM plc), unnest(range(0, len(string_split(dir, '/')) + 1)) AS u(k)),
+best AS (SELECT dir, anc, dir_license FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY depth DESC) AS r FROM up JOIN bydir USING (anc)) WHERE r = 1)
+SELECT doc_id, path, own_license, score, coalesce(own_license, dir_license) AS license, CASE WHEN own_license IS NULL THEN anc END AS inherited_from
+FROM plc LEFT JOIN best USING (dir)
+"""
+
+
+QUALITY = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM d, unnest(range(1, len(w) - 6)) AS u(i)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n_repeat_words FROM rep, unnest(range(0, 8)) AS v(k) GROUP BY doc_id),
+lin AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+        FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+f AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{_GAP}', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
+        coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+        length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals, length(regexp_replace(t, '[^!]+', '', 'g')) AS n_exclamations,
+        len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters
+      FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN lin USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 3 * n_words
+       OR word_chars > 10 * n_words OR 100 * n_capitals > 40 * word_chars OR 100 * n_exclamations > 30 * n_words OR 100 * n_stutters > 30 * n_words) AS kept
+FROM b
+"""
+
+SQL = {"op10_license_scan": license_sql(), "op4_quality_cascade": QUALITY, "op7_content_sort_dedup": DEDUP, "op8_systematic_mixing": MIX}
