@@ -26,7 +26,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.functions.rng import LCG_MODULUS, LCG_MULT_A, LCG_MULT_B
+from riskline.functions.rng import lcg_uniform_np
 from riskline.functions.stats import norm_ppf
 from riskline.operators.explore import to_long
 from riskline.operators.ordered import row_numbers
@@ -34,13 +34,6 @@ from riskline.operators.ordered import row_numbers
 MIN_ROWS = 10
 
 
-def _lcg_uniform_np(key: np.ndarray, salt: int, seed: int) -> np.ndarray:
-    """numpy twin of ``rng.lcg_uniform`` (same integer steps, int64-safe for ids < 2^31)."""
-    m, a, b = LCG_MODULUS, LCG_MULT_A, LCG_MULT_B
-    x = (key * a + seed) % m
-    x = (x * a + salt * b) % m
-    return ((x * a) % m) / float(m)
-
 
 def _norm_cdf_np(x: np.ndarray) -> np.ndarray:
     z = np.abs(x) / math.sqrt(2.0)
@@ -80,8 +73,8 @@ def gaussian_copula(df: DataFrame, features: list[str], label: str = "Class", ke
             ids = pdf["id"].to_numpy(dtype=np.int64)
             e = np.empty((len(ids), d))
             for i in range(d):
-                u1 = np.maximum(_lcg_uniform_np(ids, 2 * i + 1, seed), 1e-12)
-                u2 = _lcg_uniform_np(ids, 2 * i + 2, seed)
+                u1 = np.maximum(lcg_uniform_np(ids, 2 * i + 1, seed), 1e-12)
+                u2 = lcg_uniform_np(ids, 2 * i + 2, seed)
                 e[:, i] = np.sqrt(-2.0 * np.log(u1)) * np.cos(2 * math.pi * u2)
             u = _norm_cdf_np(e @ L.value.T)
             out = pd.DataFrame(u, columns=features)

@@ -33,12 +33,23 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_files: int = 1) -> DataFrame:
-    """File-source stream of one input table (S6), event time cast to timestamp."""
+def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_files: int | None = None) -> DataFrame:
+    """File-source stream of one input table (S6), event time cast to timestamp.
+
+    A table may be one file or a folder of files in any order of time.  By default all files
+    that wait make one batch, so the watermark, which moves between batches, drops none of a
+    backlog's rows; ``max_files`` bounds a batch for a source whose files come in time order.
+    """
     path = table_path(sf_dir, table)
-    schema = spark.read.parquet(path).schema
-    s = (spark.readStream.schema(schema).option("pathGlobFilter", os.path.basename(path))
-         .option("maxFilesPerTrigger", max_files).parquet(os.path.dirname(path)))
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(conf).getFileStatus(at).isDirectory():
+        s = reader.parquet(path)
+    else:
+        s = reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
     if "ts" in s.columns:
         s = s.withColumn("ts", F.col("ts").cast("timestamp"))
     return s
