@@ -7,12 +7,13 @@ For every query point q (a subset of the point set):
    the 2W points around its own position (W = max(k, 8)); the k-th smallest of
    those distances, r_q, bounds q's true k-th neighbour distance from above.
 2. Because |p(x) - p(y)| <= ||x - y||, every true neighbour lies in the band
-   |p(y) - p(q)| <= r_q.  Points are bucketed on p (width = median r); each query is
-   exploded over the buckets its band touches and equi-joined on the bucket, then
-   filtered to dist <= r_q and ranked (distance, id) per query.
+   |p(y) - p(q)| <= r_q.  Radii fall into levels (the median radius times powers of 4),
+   and each level has its own bucket width, so a query touches at most three buckets
+   whatever its radius.  The wide buckets of the upper levels are dealt over salts.
+   Candidates are filtered to dist <= r_q and ranked (distance, id) per query.
 
-The result equals brute force (ties broken by id).  Fan-out per query is 2W for
-step 1 and the band population for step 2, never the whole table.
+The result equals brute force (ties broken by id).  Only the asked points enter the two
+steps as queries.  Fan-out per query is 2W for step 1 and the band population for step 2.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from riskline.operators.ordered import row_numbers
 
 MIN_WINDOW = 8
+#: Radius of a level over that of the level below, and the most salts of a bucket.
+LEVEL_STEP, MAX_SALTS = 4, 1024
 
 
 def dist_expr(a: str, b: str) -> str:
@@ -42,72 +45,70 @@ def _projection_index(points: DataFrame, vec: str) -> int:
 def knn(queries: DataFrame, points: DataFrame, k: int, key: str = "id", vec: str = "vec", exclude_self: bool = True) -> DataFrame:
     """(qid, rank, pid, dist) for the k nearest points of every query id (ties by id).
 
-    Exact duplicate vectors are collapsed first, so a vector shared by many rows (a
-    hot group) never produces all pairs: the band join runs over distinct vectors,
-    and each duplicate group contributes only its k+1 smallest ids, found with the
-    bucketed row-number operator (no single task per group)."""
+    ``queries`` holds the ids to answer, each also in ``points``; an id with fewer than k
+    other points gets all of them.  Exact duplicate vectors are collapsed first, so a vector
+    shared by many rows (a hot group) never produces all pairs: the band join runs over
+    distinct vectors, and each duplicate group contributes only its k+1 smallest ids, which
+    the ranked window cuts before its shuffle."""
     pts = points.select(F.col(key).alias("id"), F.col(vec).alias("vec"))
     reps = pts.groupBy("vec").agg(F.min("id").alias("rep"))
+    q = queries.select(F.col(key).alias("qid")).join(pts.withColumnRenamed("id", "qid"), "qid").join(reps, "vec").select(
+        "qid", F.col("rep").alias("qrep"))
     # distinct-vector neighbours, keeping every tie at the k-th distance
-    dn = _knn_distinct(reps.select(F.col("rep").alias("id"), "vec"), k)
-    members = row_numbers(pts, ["id"], group=["vec"], out="mrank").where(F.col("mrank") <= k + 1)
+    dn = _knn_distinct(q.select(F.col("qrep").alias("id")).distinct(), reps.select(F.col("rep").alias("id"), "vec"), k)
+    members = pts.withColumn("mrank", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("mrank") <= k + 1)
     members = members.join(reps, "vec").select("rep", F.col("id").alias("pid"), "mrank")
     same = members.select(F.col("rep").alias("qrep"), "pid", F.lit(0.0).alias("dist"))
     other = dn.join(members.where(F.col("mrank") <= k).withColumnRenamed("rep", "prep"), "prep").select("qrep", "pid", "dist")
-    cand = same.unionByName(other)
-    q = queries.select(F.col(key).alias("qid")).join(pts.withColumnRenamed("id", "qid"), "qid").join(reps, "vec").select(
-        "qid", F.col("rep").alias("qrep"))
-    j = q.join(cand, "qrep")
+    j = q.join(same.unionByName(other), "qrep")
     if exclude_self:
         j = j.where(F.col("pid") != F.col("qid"))
     top = j.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))).where(F.col("rank") <= k)
     return top.select("qid", "rank", "pid", "dist")
 
 
-def _knn_distinct(points: DataFrame, k: int, key: str = "id", vec: str = "vec") -> DataFrame:
-    """(qrep, prep, dist): for every point, all points within its k-th nearest
+def _knn_distinct(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """(qrep, prep, dist): for every query id, all other points within its k-th nearest
     distance (so ties at the boundary are kept).  Points have distinct vectors."""
-    queries = points
-    exclude_self = True
-    """(qid, rank, pid, dist) for the k nearest points of every query id.
-
-    ``queries`` holds the ids to answer (each must also be in ``points``);
-    ``points`` holds ``key`` and the feature array ``vec``."""
-    pidx = _projection_index(points, vec)
-    pts = points.select(F.col(key).alias("pid"), F.col(vec).alias("pvec"), F.col(vec)[pidx].alias("pproj"))
+    pidx = _projection_index(points, "vec")
+    pts = points.select(F.col("id").alias("pid"), F.col("vec").alias("pvec"), F.col("vec")[pidx].alias("pproj"))
     ranked = row_numbers(pts, ["pproj", "pid"], out="prn")
     ranked = ranked.checkpoint(eager=True)  # reused by both steps; fixed numbering across passes
     w = max(k, MIN_WINDOW)
-    q = queries.select(F.col(key).alias("qid")).join(
+    q = queries.select(F.col("id").alias("qid")).join(
         ranked.select(F.col("pid").alias("qid"), F.col("pvec").alias("qvec"), F.col("pproj").alias("qproj"), F.col("prn").alias("qrn")), "qid")
 
     # step 1: upper bound on the k-th neighbour distance from the projection window
-    offs = [d for d in range(-w, w + 1) if d != 0 or not exclude_self]
-    win = q.select("*", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")).withColumn("_crn", F.col("qrn") + F.col("_d"))
+    offs = [d for d in range(-w, w + 1) if d != 0]
+    win = q.select("qid", "qvec", "qrn", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")).withColumn("_crn", F.col("qrn") + F.col("_d"))
     cand = win.join(ranked.select(F.col("prn").alias("_crn"), "pid", "pvec"), "_crn")
-    if exclude_self:
-        cand = cand.where(F.col("pid") != F.col("qid"))
     cand = cand.select("qid", F.expr(dist_expr("qvec", "pvec")).alias("dist"), "pid")
     kth = cand.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))).where(F.col("_r") == k)
-    radius = q.join(kth.select("qid", F.col("dist").alias("r")), "qid", "left")
+    radius = q.join(kth.select("qid", F.col("dist").alias("r")), "qid", "left").checkpoint(eager=True)
 
     stats = ranked.agg(F.min("pproj").alias("lo"), F.max("pproj").alias("hi")).first()
-    lo, hi = float(stats["lo"]), float(stats["hi"])
+    lo, span = float(stats["lo"] or 0.0), float(stats["hi"] or 0.0) - float(stats["lo"] or 0.0)
+    # no bound only if there are at most k points: the band is then the whole range, at any distance
+    radius = radius.withColumn("_far", F.coalesce(F.col("r"), F.lit(math.inf))).withColumn("r", F.coalesce(F.col("r"), F.lit(span + 1.0)))
     med = radius.agg(F.percentile_approx("r", 0.5, 10000).alias("m")).first()["m"]
-    width = float(med) if med and med > 0 and math.isfinite(med) else max(hi - lo, 1.0)
-    span = hi - lo
-    # no finite bound (fewer than k other points nearby): the band is the whole range
-    r = F.coalesce(F.col("r"), F.lit(span + 1.0))
-    b_lo = F.floor((F.greatest(F.col("qproj") - r, F.lit(lo)) - F.lit(lo)) / F.lit(width))
-    b_hi = F.floor((F.least(F.col("qproj") + r, F.lit(hi)) - F.lit(lo)) / F.lit(width))
-    qb = radius.select("qid", "qvec", "qproj", r.alias("r"), F.explode(F.sequence(b_lo.cast("bigint"), b_hi.cast("bigint"))).alias("_b"))
-    pb = ranked.select("pid", "pvec", "pproj", F.floor((F.col("pproj") - F.lit(lo)) / F.lit(width)).cast("bigint").alias("_b"))
+    width = float(med) if med and math.isfinite(med) else max(span, 1.0)
+    level = F.greatest(F.ceil(F.log(F.greatest(F.col("r"), F.lit(width)) / F.lit(width)) / F.lit(math.log(LEVEL_STEP))), F.lit(0)).cast("int")
+    radius = radius.withColumn("_l", level)
+    levels = [r["_l"] for r in radius.select("_l").distinct().collect()]  # a logarithm of the radii's range
+    step = F.lit(width) * F.pow(F.lit(float(LEVEL_STEP)), F.col("_l"))
+    salts = F.least(F.pow(F.lit(float(LEVEL_STEP)), F.col("_l")), F.lit(float(MAX_SALTS))).cast("int")
+
+    def bucket(at):
+        return F.floor((at - F.lit(lo)) / step).cast("bigint")
+
+    qb = radius.select("qid", "qvec", "qproj", "r", "_far", "_l", F.explode(F.sequence(bucket(F.col("qproj") - F.col("r")), bucket(F.col("qproj") + F.col("r")))).alias("_b"))
+    qb = qb.withColumn("_s", F.explode(F.sequence(F.lit(0), salts - 1)))
+    pb = ranked.select("pid", "pvec", "pproj", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")).alias("_l"))
+    pb = pb.select("*", bucket(F.col("pproj")).alias("_b"), F.pmod(F.xxhash64("pid"), salts).cast("int").alias("_s"))
 
     # step 2: band join on the projection bucket, exact distances, top-k per query
-    band = qb.join(pb, "_b").where(F.abs(F.col("pproj") - F.col("qproj")) <= F.col("r"))
-    if exclude_self:
-        band = band.where(F.col("pid") != F.col("qid"))
-    band = band.select("qid", "pid", "r", F.expr(dist_expr("qvec", "pvec")).alias("dist")).where(F.col("dist") <= F.col("r"))
+    band = qb.join(pb, ["_l", "_b", "_s"]).where((F.abs(F.col("pproj") - F.col("qproj")) <= F.col("r")) & (F.col("pid") != F.col("qid")))
+    band = band.select("qid", "pid", "_far", F.expr(dist_expr("qvec", "pvec")).alias("dist")).where(F.col("dist") <= F.col("_far"))
     kth_d = F.max(F.when(F.col("_r") == k, F.col("dist"))).over(Window.partitionBy("qid"))
     ranked_band = band.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid")))
     keep = ranked_band.withColumn("_kd", kth_d).where(F.col("_kd").isNull() | (F.col("dist") <= F.col("_kd")))

@@ -214,35 +214,44 @@ def pipeline_check_report(
 ) -> DataFrame:
     """V4: combined data-check report; ``success`` iff V1 is valid and all V3 checks hold.
 
-    One scan: a partial aggregate per label value (count, missing cells, ranges,
-    class-set membership), folded into one row.  The per-label table has one row per
-    distinct label, so the fold is tiny.
+    One scan: a partial aggregate per class (count, missing cells, ranges), folded into one
+    row.  Labels outside ``class_values`` form one class ``other``, so the fold stays tiny on
+    a dirty label column.  A missing or non-numeric column fails its check; nothing raises.
     """
     missing_cols = [c for c in required_columns if c not in df.columns]
-    in_set = F.coalesce(F.col(label).isin(*class_values), F.lit(False)).cast("int")
-    per_label = df.groupBy(F.col(label).alias("_lab")).agg(
+
+    def number(c: str) -> Column:
+        return F.col(f"`{c}`").try_cast("double") if c in df.columns else F.lit(None).cast("double")
+
+    lab = number(label)
+    known = lab.isin(*[float(v) for v in class_values])
+    raw = F.col(f"`{label}`") if label in df.columns else F.lit(None)
+    kind = F.when(known, lab.cast("bigint").cast("string")).when(raw.isNotNull(), F.lit("other"))
+    per_label = df.groupBy(kind.alias("_lab")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(_missing_cells(df)).alias("miss"),
-        F.min("Time").alias("tmin"),
-        F.max("Time").alias("tmax"),
-        F.min("Amount").alias("amin"),
-        F.max("Amount").alias("amax"),
-        F.min(in_set).alias("inset"),
+        F.min(number("Time")).alias("tmin"),
+        F.max(number("Time")).alias("tmax"),
+        F.min(number("Amount")).alias("amin"),
+        F.max(number("Amount")).alias("amax"),
+        F.min(F.coalesce(known, F.lit(False)).cast("int")).alias("inset"),
     )
     labelled = F.col("_lab").isNotNull()
+
+    def within(low: str, high: str, limits: tuple[float, float]) -> Column:
+        return F.coalesce((F.min(low) >= F.lit(limits[0])) & (F.max(high) <= F.lit(limits[1])), F.lit(False))
+
     folded = per_label.agg(
         F.sum("n").alias("_rows"),
         F.sum("miss").alias("_missing"),
-        ((F.min("tmin") >= F.lit(time_range[0])) & (F.max("tmax") <= F.lit(time_range[1]))).alias("time_range_valid"),
-        ((F.min("amin") >= F.lit(amount_range[0])) & (F.max("amax") <= F.lit(amount_range[1]))).alias("amount_range_valid"),
+        within("tmin", "tmax", time_range).alias("time_range_valid"),
+        within("amin", "amax", amount_range).alias("amount_range_valid"),
         F.coalesce(F.min("inset") == 1, F.lit(True)).alias("class_values_valid"),
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.when(labelled, F.struct(F.col("_lab").cast("int").alias("k"), F.col("n").alias("v")))))
-        ).alias("_dist"),
-        F.sum(F.when(F.col("_lab") == 1, F.col("n"))).alias("_n1"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(labelled, F.struct(F.col("_lab").alias("k"), F.col("n").alias("v")))))).alias("_dist"),
+        F.sum(F.when(F.col("_lab") == "1", F.col("n"))).alias("_n1"),
         F.max(F.when(labelled, F.col("n"))).alias("_nmax"),
         F.min(F.when(labelled, F.col("n"))).alias("_nmin"),
-    )
+    ).withColumn("_rows", F.coalesce("_rows", F.lit(0)))
     q = _quality_columns(F.col("_rows"), F.coalesce(F.col("_missing"), F.lit(0)), len(df.columns), missing_cols, min_rows, max_missing_pct)
     is_valid = q[0]
     return folded.select(
@@ -253,7 +262,7 @@ def pipeline_check_report(
         q[2],
         q[3],
         q[4],
-        (F.col("_n1") * F.lit(100.0) / F.col("_rows")).alias("fraud_percentage"),
+        F.try_divide(F.col("_n1") * F.lit(100.0), F.col("_rows")).alias("fraud_percentage"),
         F.try_divide(F.col("_nmax").cast("double"), F.col("_nmin")).alias("imbalance_ratio"),
         "time_range_valid",
         "amount_range_valid",

@@ -40,7 +40,10 @@ _SYN_SELECT = ("SELECT s.synthetic_id, s.base_id, s.nn_id, "
                + ", 1 AS Class FROM syn s JOIN mino b ON b.event_id = s.base_id JOIN mino n ON n.event_id = s.nn_id")
 
 
-def _round_syn(df):
+def _round_syn(spark, df):
+    """Rounded synthetic rows; an empty table when nothing had to be generated."""
+    if df is None:
+        return spark.createDataFrame([], "synthetic_id bigint, base_id bigint, nn_id bigint, " + ", ".join(f"{c} double" for c in _F) + ", Class int")
     return df.select("synthetic_id", "base_id", "nn_id", *[F.round(c, 6).alias(c) for c in _F], "Class")
 
 
@@ -55,8 +58,7 @@ def j2_minority_knn(spark, sf):
 @query("b1_smote", with_ctes(TX, FEAT, _MINO, _KNN, _CNT, _gen_sql("mino", "(SELECT count(*) FROM mino)")) + _SYN_SELECT)
 def b1_smote(spark, sf):
     """B1: SMOTE rows (ratio .1, k 5) on the raw notebook features."""
-    s = bl.smote(enrich(fx.transactions(spark, sf)))
-    return _round_syn(s)
+    return _round_syn(spark, bl.smote(enrich(fx.transactions(spark, sf))))
 
 
 @query(
@@ -103,7 +105,4 @@ _KNN_DANGER = _KNN.replace("FROM mino a JOIN mino b", "FROM (SELECT m.* FROM min
 )
 def b2_borderline_smote(spark, sf):
     """B2: borderline-1 SMOTE (danger rows as bases, k 5 minority neighbours)."""
-    s = bl.borderline_smote(enrich(fx.transactions(spark, sf)))
-    if s is None:
-        return spark.createDataFrame([], "synthetic_id bigint, base_id bigint, nn_id bigint, " + ", ".join(f"{c} double" for c in _F) + ", Class int")
-    return _round_syn(s)
+    return _round_syn(spark, bl.borderline_smote(enrich(fx.transactions(spark, sf))))

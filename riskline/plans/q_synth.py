@@ -44,6 +44,8 @@ def _noise_sql(i: int) -> str:
 def b4_oversample_noise(spark, sf):
     """Minority rows duplicated round-robin with 1 % Gaussian noise (seeded)."""
     s = bl.oversample_with_noise(enrich(fx.transactions(spark, sf)), _F)
+    if s is None:
+        return spark.createDataFrame([], "synthetic_id bigint, base_id bigint, " + ", ".join(f"{c} double" for c in _F) + ", Class int")
     return s.select("synthetic_id", "base_id", *[F.round(c, 6).alias(c) for c in _F], "Class")
 
 

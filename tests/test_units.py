@@ -160,3 +160,40 @@ def test_knn_with_hot_duplicate_group(spark):
     for i in range(len(pts)):
         order = sorted((d[i, j], j) for j in range(len(pts)) if j != i)[:5]
         assert [got[(i, r + 1)] for r in range(5)] == [j for _, j in order]
+
+
+def test_knn_answers_only_the_asked_points(spark):
+    """A few queries, one an outlier far from all others, against brute force; and fewer than k points."""
+    rows = [(i, [float((i * 37) % 101) + (i % 7) * 0.1, float((i * 53) % 89)]) for i in range(300)]
+    rows += [(300, [1e6, 5.0]), (301, [50.0, 44.0]), (302, [50.0, 44.0])]
+    df = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    asked = [0, 17, 300, 301]
+    got = {(r.qid, r.rank): r.pid for r in knn(df.where(F.col("id").isin(asked)).select("id"), df, 5).collect()}
+    for q in asked:
+        v = dict(rows)[q]
+        best = sorted((math.dist(v, w), i) for i, w in rows if i != q)[:5]
+        assert [got[(q, k + 1)] for k in range(5)] == [i for _, i in best]
+    assert len(got) == 5 * len(asked)
+    assert knn(df.limit(3), df.limit(3), 5).count() == 6
+
+
+def test_check_report_survives_bad_input(spark):
+    from riskline.operators import validate as val
+
+    base = [(float(i), 10.0, 0.0 if i % 2 else 1.0) for i in range(20)]
+    kw = {"required_columns": ["Time", "Amount", "Class"], "min_rows": 10}
+
+    def report(rows, schema):
+        return val.pipeline_check_report(spark.createDataFrame(rows, schema), **kw).first()
+
+    full = "Time double, Amount double, Class double"
+    assert report(base, full)["status"] == "success"
+    r = report([(t, c) for t, _, c in base], "Time double, Class double")
+    assert r["status"] == "failed" and "Amount" in r["message"] and not r["amount_range_valid"]
+    r = report([*base, (1.0, 1.0, 0.5), (2.0, 1.0, 0.25)], full)
+    assert r["status"] == "failed" and not r["class_values_valid"]
+    assert r["class_distribution"] == '{"0":10,"1":10,"other":2}'
+    r = report([(str(t), "x", "y") for t, _, _ in base], "Time string, Amount string, Class string")
+    assert r["status"] == "failed" and not r["class_values_valid"]
+    assert report([], full)["status"] == "failed"
+    assert report([(t, a) for t, a, _ in base], "Time double, Amount double")["status"] == "failed"
