@@ -123,25 +123,54 @@ def best_pattern(price: np.ndarray, room: int) -> tuple[float, dict[int, int]]:
     return float(best[room]), items
 
 
+def first_columns(demand: dict[int, int], room: int) -> tuple[list[dict[int, int]], list[float]]:
+    """A first basis: one pattern and count a class, whatever the corpus.
+
+    Each pattern is filled first-fit from the largest class down and used until one of its
+    classes is spent, which then leaves.  A pattern has none of the classes spent before it,
+    so the patterns are independent."""
+    left, todo = {c: float(n) for c, n in demand.items()}, sorted(demand, reverse=True)
+    patterns, counts = [], []
+    while todo:
+        free, items = room, {}
+        for c in todo:
+            k = free // c if not items else min(free // c, int(np.ceil(left[c])))
+            if k:
+                items[c] = k
+                free -= k * c
+        x, gone = min((left[c] / k, c) for c, k in items.items())
+        for c, k in items.items():
+            left[c] = max(0.0, left[c] - k * x)
+        todo.remove(gone)
+        patterns.append(items)
+        counts.append(x)
+    return patterns, counts
+
+
 def column_generation(demand: dict[int, int], room: int, gap: float = GAP, rounds: int = 3_000) -> list[tuple[dict[int, int], float]]:
     """Patterns and their (fractional) counts for the demand {class: pieces}, by a revised
-    simplex whose columns are priced by :func:`best_pattern`."""
+    simplex from :func:`first_columns` whose further columns :func:`best_pattern` prices."""
     classes = sorted(demand)
     m = len(classes)
     if not m:
         return []
     at = {c: k for k, c in enumerate(classes)}
     need = np.array([demand[c] for c in classes], float)
-    columns = [{c: room // c} for c in classes]
-    inverse = np.diag([1.0 / (room // c) for c in classes])
-    count = inverse @ need
+    columns, first = first_columns(demand, room)
+    basis = np.zeros((m, m))
+    for k, pattern in enumerate(columns):
+        for c, a in pattern.items():
+            basis[at[c], k] = a
+    inverse, count = np.linalg.inv(basis), np.array(first)
+    bound = need @ np.array(classes) / room  # no sequence holds more than its room
     for _ in range(rounds):
         dual = inverse.sum(axis=0)
         price = np.zeros(room)
         price[np.array(classes) - 1] = dual
         worth, pattern = best_pattern(price, room)
-        # total / worth bounds the program from below (Farley), total is its value now
-        if worth <= 1 + 1e-9 or 1 - 1 / worth <= gap:
+        total = count.sum()
+        bound = max(bound, need @ np.maximum(dual, 0) / worth)  # Farley's bound from below
+        if worth <= 1 + 1e-9 or total * (1 - gap) <= bound:
             break
         a = np.zeros(m)
         for c, k in pattern.items():
