@@ -64,7 +64,9 @@ def time_slot(hour: Column, hours: int = 4) -> Column:
     return F.floor(hour / F.lit(hours)).cast("int")
 
 
-def laplace_noise(key: Column, scale: float, seed: int = 42) -> Column:
-    """Laplace(0, scale) noise by inverse CDF of a seeded uniform of the row key."""
+def laplace_noise(key: Column, scale: float, seed: int) -> Column:
+    """Laplace(0, scale) noise by inverse CDF of a seeded uniform of the row key.
+
+    Whoever knows ``seed`` and the key can subtract the noise: keep the seed secret."""
     u = lcg_uniform(key, 7, seed) - F.lit(0.5)
     return F.lit(-scale) * F.signum(u) * F.log(F.lit(1.0) - F.lit(2.0) * F.abs(u))
