@@ -123,14 +123,14 @@ def best_pattern(price: np.ndarray, room: int) -> tuple[float, dict[int, int]]:
     return float(best[room]), items
 
 
-def first_columns(demand: dict[int, int], room: int) -> tuple[list[dict[int, int]], list[float]]:
-    """A first basis: one pattern and count a class, whatever the corpus.
+def first_columns(demand: dict[int, int], room: int) -> tuple[list[dict[int, int]], list[float], list[int]]:
+    """A first basis: one pattern, count and spent class for each class, whatever the corpus.
 
     Each pattern is filled first-fit from the largest class down and used until one of its
     classes is spent, which then leaves.  A pattern has none of the classes spent before it,
-    so the patterns are independent."""
+    so the basis is triangular in that order."""
     left, todo = {c: float(n) for c, n in demand.items()}, sorted(demand, reverse=True)
-    patterns, counts = [], []
+    patterns, counts, spent = [], [], []
     while todo:
         free, items = room, {}
         for c in todo:
@@ -144,7 +144,8 @@ def first_columns(demand: dict[int, int], room: int) -> tuple[list[dict[int, int
         todo.remove(gone)
         patterns.append(items)
         counts.append(x)
-    return patterns, counts
+        spent.append(gone)
+    return patterns, counts, spent
 
 
 def column_generation(demand: dict[int, int], room: int, gap: float = GAP, rounds: int = 3_000) -> list[tuple[dict[int, int], float]]:
@@ -156,12 +157,14 @@ def column_generation(demand: dict[int, int], room: int, gap: float = GAP, round
         return []
     at = {c: k for k, c in enumerate(classes)}
     need = np.array([demand[c] for c in classes], float)
-    columns, first = first_columns(demand, room)
-    basis = np.zeros((m, m))
-    for k, pattern in enumerate(columns):
-        for c, a in pattern.items():
-            basis[at[c], k] = a
-    inverse, count = np.linalg.inv(basis), np.array(first)
+    columns, first, spent = first_columns(demand, room)
+    inverse, count = np.zeros((m, m)), np.array(first)
+    for k, c in enumerate(spent):  # forward substitution
+        inverse[k, at[c]] = 1.0
+        for j in range(k):
+            if c in columns[j]:
+                inverse[k] -= columns[j][c] * inverse[j]
+        inverse[k] /= columns[k][c]
     bound = need @ np.array(classes) / room  # no sequence holds more than its room
     for _ in range(rounds):
         dual = inverse.sum(axis=0)
