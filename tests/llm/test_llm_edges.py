@@ -3,7 +3,7 @@
 import pytest
 from llm_conftest import ROWS, SCHEMA, edge_docs
 
-from riskline.llm import components, exact_dedup, hpyp, language, licenses, mixing, ngram_join, packing, pii, quality, queries
+from riskline.llm import components, exact_dedup, hpyp, language, licenses, mixing, ngram_join, packing, pii, quality, queries, wrapper
 
 OPERATORS = {
     "scores": hpyp.scores,
@@ -91,3 +91,16 @@ def test_probabilities_sum_to_one(spark):
     got = hpyp._price(customers, kept, v)(pa.table({"block": [0], "data": [ask.pack("<u4")]}), model)
     p = 10 ** hpyp.Words.unpack(got.column("priced")[0].as_py(), "<f4").figure.reshape(4, 2)
     assert np.allclose(p.sum(axis=0), 1, atol=1e-4)
+
+
+@pytest.mark.parametrize("around", ['div class="layout has-sidebar"', 'div id="page-with-menu"', 'div class="sidebar-page with-sidebar"', 'div class="sticky-header-page"', 'div class="header"', "form"])
+def test_article_is_found_before_anything_goes(around):
+    page = f'<body><{around}><article><h1 class="header">Head</h1><div class="legal-analysis"><p class="share-price">Up 3%</p></div><div class="related-posts">More</div><p class="ad">Buy</p></article></{around.split()[0]}></body>'
+    assert wrapper.content(page) == "Head\n\nUp 3%"
+
+
+def test_roles_by_name_go():
+    page = '<body><div class="sidebar"><article>Teaser of another page</article></div><div role="navigation">Home</div><div id="cookie-banner">We</div><ul class="nav navbar-nav"><li>A</li></ul><article>Text</article></body>'
+    assert wrapper.content(page) == "Text"
+    assert wrapper.content(page.replace("<article>Text</article>", "<main>Own</main>")) == "Own"
+    assert wrapper.content('<body><div class="post-content">Own</div><div class="site-header">Site</div><div class="comment-list">Nice</div></body>') == "Own"
