@@ -104,3 +104,41 @@ def test_roles_by_name_go():
     assert wrapper.content(page) == "Text"
     assert wrapper.content(page.replace("<article>Text</article>", "<main>Own</main>")) == "Own"
     assert wrapper.content('<body><div class="post-content">Own</div><div class="site-header">Site</div><div class="comment-list">Nice</div></body>') == "Own"
+
+
+def induced(pages):
+    template = None
+    for page in pages:
+        one = wrapper.skeleton(wrapper.parse(page))
+        template = one if template is None else wrapper.merge(template, one)
+    return [wrapper.content(page, wrapper.settled(template)) for page in pages]
+
+
+@pytest.mark.parametrize("tags", [("article", "div"), ("main", "section"), ("div", "p"), ("div", "div")])
+def test_constant_sibling_is_template(tags):
+    a, b = tags
+    pages = [f"<body><{a}>{''.join(f'<{b}>Own {k} {j}</{b}>' for j in range(1 + k % 4))}<{b}>Read our other news</{b}>{f'<{b}>Last {k}</{b}>' if k % 3 else ''}</{a}></body>" for k in range(30)]
+    for some in (pages, pages[:2], pages[::-1]):
+        assert all("Own" in t and "other news" not in t for t in induced(some))
+    assert [t.count("Own") for t in induced(pages)] == [1 + k % 4 for k in range(30)]
+
+
+def test_first_page_differs():
+    pages = [f"<body><p>{'Other' if k == 0 else 'Site'}</p><h1>Own {k}</h1></body>" for k in range(30)]
+    assert induced(pages)[1:] == [f"Own {k}" for k in range(1, 30)]
+
+
+def test_template_of_one_layout():
+    pages = [f"<body><article><h1>Own {k}</h1>{'<div class=offer>Special offer</div>' if k % 3 == 0 else ''}</article></body>" for k in range(30)]
+    assert induced(pages) == [f"Own {k}" for k in range(30)]
+
+
+def test_near_copies_keep_their_long_end():
+    pages = [f"<body><article>{''.join(f'<p>Own {k} {j}</p>' for j in range(3))}</article></body>" for k in range(20)]
+    copies = [f"<body><article><p>Copy {k}</p>{''.join(f'<p>Same {j}</p>' for j in range(9))}</article></body>" for k in range(3)]
+    assert all(t.count("Same") == 9 for t in induced(pages + copies)[20:])
+
+
+def test_long_lists_align():
+    pages = [f"<body><ul>{''.join(f'<li>Item {k} {j}</li>' for j in range(300 + k))}<li>Imprint</li></ul></body>" for k in range(3)]
+    assert [(t.count("Item"), t.count("Imprint")) for t in induced(pages)] == [(300, 0), (301, 0), (302, 0)]
