@@ -30,6 +30,12 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as (row, row_key), written once: a key computed anew in a second scan
+    depends on how that scan splits the files, and may be another row's."""
+    return staged(df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.monotonically_increasing_id().alias("row_key")), "keyed")
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the folder of a table from :func:`staged` that nothing reads any more."""
     spark = df.sparkSession

@@ -84,14 +84,15 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     null path is in.  Of several licence files in a directory the one with the highest score
     counts, then the smallest licence id.  An own licence comes before an inherited one.
     Null and empty texts have no licence of their own.  Repeated rows are rows of their own.
-    ``files`` must be a table at rest: rows are found again by their place in it.
     """
     spark = files.sparkSession
     keep = [c for c in ("doc_id",) if c in files.columns]
-    named = files.select(
-        *keep, F.monotonically_increasing_id().alias("row_key"), F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"),
+    # Written once with the key, and of the texts only what can hold a licence.
+    text = text_or_empty("text")
+    named = staged(files.select(
+        *keep, F.monotonically_increasing_id().alias("row_key"), F.col("path").cast("string").alias("path"), F.when(text.rlike(CUE), text).alias("text"),
         F.coalesce(F.col("is_license_file"), F.lit(False)).alias("is_license_file"),
-    )
+    ), "named")
     own = staged(own_licenses(named, spark, templates, threshold), "own")
     path = F.coalesce("path", F.lit(""))
     places = named.select(*keep, "row_key", "path", "is_license_file", F.regexp_extract(path, "^(.*)/", 1).alias("dir"))

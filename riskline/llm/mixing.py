@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskline.llm.common import ranked, text_or_empty, word_count
+from riskline.llm.common import keyed, ranked, text_or_empty, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -56,12 +56,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     )
 
 
-def _copies(docs: DataFrame, id_col: str, text_col: str, source_col: str, large: float = LARGE, **how) -> DataFrame:
+def _copies(docs: DataFrame, id_col: str, text_col: str, source_col: str, key_col: str | None = None, large: float = LARGE, **how) -> DataFrame:
     sizes = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(text_or_empty(text_col)).alias("size"),
-        F.monotonically_increasing_id().alias("row_key"),
+        (F.col(key_col) if key_col else F.monotonically_increasing_id()).alias("row_key"),
     ).withColumn("down", -F.col("size"))
     placed = ranked(sizes, "source", ["down", "doc_id", "row_key"])
     targets = source_targets(placed.select("source", "size"), **how).withColumnRenamed("source", "t_source")
@@ -100,8 +100,9 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The rows of the mix with the columns of ``docs``, each as often as it is taken.
 
-    ``docs`` must be a table at rest: rows are found again by their place in it.
+    The rows are written once with their key.
     """
-    picked = _copies(docs, id_col, text_col, source_col, **how).where("copies > 0").select("row_key", "copies")
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("row_key"))
+    rows = keyed(docs)
+    plain = rows.select(*[F.col("row")[c].alias(n) for c, n in ((id_col, "doc_id"), (text_col, "text"), (source_col, "source"))], "row_key")
+    picked = _copies(plain, "doc_id", "text", "source", "row_key", **how).where("copies > 0").select("row_key", "copies")
     return rows.join(picked, "row_key").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

@@ -142,3 +142,43 @@ def test_near_copies_keep_their_long_end():
 def test_long_lists_align():
     pages = [f"<body><ul>{''.join(f'<li>Item {k} {j}</li>' for j in range(300 + k))}<li>Imprint</li></ul></body>" for k in range(3)]
     assert [(t.count("Item"), t.count("Imprint")) for t in induced(pages)] == [(300, 0), (301, 0), (302, 0)]
+
+
+@pytest.mark.parametrize("stage", ["near", "mix", "licences"])
+def test_rows_are_found_again_when_splits_change(spark, tmp_path, monkeypatch, stage):
+    """The files are dealt to tasks anew between the scans, as after a lost executor."""
+    body = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(20)]
+    rows = [(k, body[k % 20] if k < 40 else " ".join(f"o{k}y{j}" for j in range(1 + 3 * (k % 9))), "en", "abc"[k % 3]) for k in range(120)]
+    if stage == "licences":
+        rows = [(k, "Released under the MIT License" if k % 3 == 0 else "text", "en", "a") for k in range(120)]
+    edge_docs(spark, rows).repartition(8, "doc_id").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    deal = lambda n, cost: [spark.conf.set("spark.sql.files.minPartitionNum", n), spark.conf.set("spark.sql.files.openCostInBytes", cost)]
+    module, name = {"near": (ngram_join, "jaccard_classes"), "mix": (mixing, "_copies"), "licences": (licenses, "own_licenses")}[stage]
+    real = getattr(module, name)
+    old = {k: spark.conf.get(k) if k != "spark.sql.files.minPartitionNum" else spark.conf.get(k, None) for k in ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")}
+
+    def between(*args, **kw):
+        from riskline.llm.common import staged
+
+        out = staged(real(*args, **kw), "seen")
+        deal("1", "1")
+        return out
+
+    monkeypatch.setattr(module, name, between)
+    try:
+        deal("8", "128m")
+        if stage == "near":
+            got = {r.doc_id for r in ngram_join.drop_near_duplicates(docs).collect()}
+            assert got >= set(range(20)) | {k for k in range(40, 120) if k % 9 > 1} and not got & set(range(20, 40))
+        elif stage == "mix":
+            want = {r.doc_id: r.taken // r["size"] for r in mixing.mixture(docs).collect() if r["size"]}
+            deal("8", "128m")
+            got = [r.doc_id for r in mixing.mixed(docs).collect()]
+            assert {k: got.count(k) for k in want} == want
+        else:
+            files = docs.selectExpr("doc_id", "concat('d', doc_id, '/f') AS path", "text", "false AS is_license_file")
+            assert {r.doc_id for r in licenses.scan(files).collect() if r.own_license} == {k for k in range(120) if k % 3 == 0}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
