@@ -30,6 +30,13 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path under ``spark.checkpoint.dir``, deleted by :func:`release`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def keyed(df: DataFrame) -> DataFrame:
     """The rows of ``df`` as (row, row_key), written once: a key computed anew in a second scan
     depends on how that scan splits the files, and may be another row's."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskline.llm import exact_dedup, hpyp, language, licenses, mixing, ngram_join, packing, pii, quality, spelling, wrapper
+from riskline.llm import exact_dedup, hpyp, interaction, language, licenses, mixing, ngram_join, packing, pii, quality, spelling, urls, wrapper
 from riskline.llm.common import in_fold
 from riskline.llm.sql import SQL
 from riskline.session import ensure_checkpoint_dir
@@ -78,13 +79,34 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.document_files(table(spark, sf_dir, "documents"))).drop("row_key")
 
 
+def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(url, good) of the pages whose document has a label; a page's first all-digit part of the
+    path is its document's id.  Good: neither of low quality nor toxic by any label."""
+    labels = table(spark, sf_dir, "labels").where("quality is not null or toxic is not null").groupBy("doc_id").agg(
+        (~F.coalesce(F.min("quality") == 0, F.lit(False)) & ~F.coalesce(F.max("toxic") == 1, F.lit(False))).alias("good")
+    )
+    number = F.regexp_extract(urls.path_of(F.col("url")), "/([0-9]+)", 1).try_cast("bigint")
+    return table(spark, sf_dir, "pages").select("url", number.alias("doc_id")).join(labels, "doc_id").select("url", "good")
+
+
+def op11_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url by rules and path templates."""
+    return urls.judge(table(spark, sf_dir, "pages"), labelled_urls(spark, sf_dir))
+
+
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of every source, in all orders."""
+    ensure_checkpoint_dir(spark)
+    return interaction.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words one edit apart and their frequent forms, over all documents."""
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hpyp_lm, op2_wrapper_induction, op3_ngram_jaccard_join, op4_quality_cascade, op5_weak_supervision_pii, op6_cutting_stock_packing, op7_content_sort_dedup, op8_systematic_mixing, op9_language_mixture, op10_license_scan, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_hpyp_lm, op2_wrapper_induction, op3_ngram_jaccard_join, op4_quality_cascade, op5_weak_supervision_pii, op6_cutting_stock_packing, op7_content_sort_dedup, op8_systematic_mixing, op9_language_mixture, op10_license_scan, op11_url_templates, op12_filter_interaction, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -96,6 +96,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+INTERACTION = rf"""
+WITH d AS (SELECT *, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+lab AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::INT AS mask FROM d LEFT JOIN lab USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+l AS (SELECT chr((65 + k)::INT) AS x, 1 << k AS b FROM range(5) AS r(k)),
+o AS (SELECT l1.x || l2.x || l3.x || l4.x || l5.x AS filter_order, [l1.b, l2.b, l3.b, l4.b, l5.b] AS bits FROM l l1, l l2, l l3, l l4, l l5
+      WHERE l1.b + l2.b + l3.b + l4.b + l5.b = 31 AND l1.b | l2.b | l3.b | l4.b | l5.b = 31),
+s AS (SELECT filter_order, step, bits[step] AS own, list_sum(list_concat([0], bits[:step - 1]))::BIGINT AS prior FROM o, range(1, 6) AS r(step))
+SELECT part, filter_order, step::INT AS step, coalesce(sum(n) FILTER (mask & (prior | own) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (mask & prior = 0 AND mask & own <> 0), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (mask & prior <> 0 AND mask & own <> 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (mask & prior = 0 AND mask & own <> 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (mask & prior = 0 AND mask & own <> 0), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & own <> 0), 0)::BIGINT AS shapley
+FROM c, s GROUP BY part, filter_order, step
+"""
+
 _LATIN_RUN = r"[A-Za-z\x{00C0}-\x{00FF}]+"
 
 # crc32 by its table; near words meet where they are equal without one letter.
@@ -119,4 +138,50 @@ up AS (SELECT word, word AS top, 0 AS step FROM frm UNION ALL SELECT u.word, f.f
 SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM frm JOIN (SELECT word, arg_max(top, step) AS root FROM up GROUP BY word) USING (word)
 """
 
-SQL = {"op10_license_scan": license_sql(), "op13_spelling_variants": SPELLING, "op4_quality_cascade": QUALITY, "op7_content_sort_dedup": DEDUP, "op8_systematic_mixing": MIX}
+
+def url_sql() -> str:
+    """op11; a level of the tree after the other."""
+    from riskline.llm import urls as u
+
+    url = "'://([^/?#]*)([^?#]*)'"
+    host = f"translate(coalesce(regexp_extract(url, {url}, 1), ''), '{u._UPPER}', '{u._LOWER}')"
+    path = f"coalesce(regexp_extract(url, {url}, 2), '')"
+    rules = "".join(
+        f" WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{{v}}}".replace("{" + v + "}", f"{{'rule': '{h + p}', 'verdict': '{v}'}}")
+        for v, h, p in sorted(u.RULES, key=lambda r: -len(r[1] + r[2]))
+    )
+    levels = ""
+    for k in range(1, u.LEVELS + 1):
+        levels += f"""
+a{k} AS MATERIALIZED (SELECT host, template, parts[{k}] AS child, max(node_n) AS node_n, sum(n) AS n, sum(good) AS good, sum(labelled) AS labelled,
+       sum(CASE WHEN len(parts) = {k} THEN n ELSE 0 END) AS ends FROM t{k - 1} WHERE len(parts) >= {k} GROUP BY ALL),
+v{k} AS (SELECT *, CASE WHEN n >= {u.SUPPORT} AND 100 * n >= {u.SHARE} * node_n THEN child ELSE '*' END AS value FROM a{k}),
+b{k} AS (SELECT *, sum(good) OVER w AS g, sum(labelled) OVER w AS l FROM (SELECT host, template, value, sum(n) AS n, sum(good)::DOUBLE AS good, sum(labelled)::DOUBLE AS labelled, sum(ends) AS ends
+       FROM v{k} GROUP BY ALL) WINDOW w AS (PARTITION BY host, template)),
+s{k} AS MATERIALIZED (SELECT *, good * (l - labelled) - (g - good) * labelled AS gap, 2 * ends >= n AS leaf,
+       CASE WHEN gap * gap * l > {u.DIFFERENT} * (labelled * (l - labelled) * g * (l - g)) THEN sign(gap) ELSE 0 END AS side FROM b{k}),
+m{k} AS (SELECT host, template, side, leaf, sum(n - ends) AS below, list_sort(list(value)) AS alike FROM s{k} GROUP BY ALL),
+n{k} AS (SELECT host, template, value, below, CASE WHEN len(alike) = 1 THEN value ELSE '{{' || array_to_string(alike, '|') || '}}' END AS name FROM s{k} JOIN m{k} USING (host, template, side, leaf)),
+t{k} AS MATERIALIZED (SELECT t.host, shape, parts, t.n, t.good, t.labelled, t.template || '/' || name AS template, below AS node_n
+       FROM t{k - 1} t JOIN v{k} v ON t.host = v.host AND t.template = v.template AND parts[{k}] = child JOIN n{k} m ON m.host = v.host AND m.template = v.template AND m.value = v.value
+       WHERE len(parts) >= {k} UNION ALL SELECT * FROM t{k - 1} WHERE len(parts) < {k}),"""
+    return rf"""
+WITH lab AS (SELECT doc_id, NOT coalesce(min(quality) = 0, false) AND NOT coalesce(max(toxic) = 1, false) AS good FROM labels
+        WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+pag AS (SELECT page_id, url, {host} AS host, {path} AS path FROM pages),
+shp AS (SELECT *, regexp_replace(path, '[0-9]+', '#', 'g') AS shape, try_cast(regexp_extract(path, '/([0-9]+)', 1) AS BIGINT) AS doc_id FROM pag),
+one AS (SELECT host, shape, sum(n) AS n, sum(good) AS good, sum(labelled) AS labelled FROM (SELECT host, shape, 1 AS n, 0 AS good, 0 AS labelled FROM shp
+        UNION ALL SELECT host, shape, 0, good::INT, 1 FROM shp JOIN lab USING (doc_id)) GROUP BY ALL),
+prt AS (SELECT *, CASE WHEN shape = '' THEN []::VARCHAR[] ELSE string_split(substr(shape, 2), '/') END AS parts FROM one),
+t0 AS MATERIALIZED (SELECT host, shape, parts, n, good, labelled, '' AS template, sum(CASE WHEN len(parts) > 0 THEN n ELSE 0 END) OVER (PARTITION BY host) AS node_n FROM prt),{levels}
+fin AS (SELECT host, shape, good, labelled, template || CASE WHEN len(parts) > {u.LEVELS} THEN '/**' ELSE '' END AS template FROM t{u.LEVELS}),
+bas AS (SELECT (sum(good) + 1.0::DOUBLE) / (sum(labelled) + 1.0::DOUBLE) AS base FROM fin),
+per AS (SELECT host, template, sum(good)::DOUBLE AS good, sum(labelled)::DOUBLE AS labelled FROM fin GROUP BY ALL),
+hst AS (SELECT host, (sum(good) + {u.PRIOR}::DOUBLE * (SELECT base FROM bas)) / (sum(labelled) + {u.PRIOR}::DOUBLE) AS host_purity FROM per GROUP BY host),
+pur AS (SELECT host, template, (good + {u.PRIOR}::DOUBLE * host_purity) / (labelled + {u.PRIOR}::DOUBLE) AS purity FROM per JOIN hst USING (host)),
+jud AS (SELECT page_id, host, path, template, purity, CASE{rules} END AS fit FROM shp JOIN (SELECT host, shape, template FROM fin) USING (host, shape) JOIN pur USING (host, template))
+SELECT page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, CASE WHEN purity < {u.MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, purity FROM jud
+"""
+
+
+SQL = {"op10_license_scan": license_sql(), "op11_url_templates": url_sql(), "op12_filter_interaction": INTERACTION, "op13_spelling_variants": SPELLING, "op4_quality_cascade": QUALITY, "op7_content_sort_dedup": DEDUP, "op8_systematic_mixing": MIX}
