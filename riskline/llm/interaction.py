@@ -3,10 +3,16 @@
 All files of a table are processed as available-now micro-batches of one stream.  A document
 fails some of the filters A to D by itself; E, "identical to a document of smaller id", depends
 on what else the table holds and on the order in which files come.  So every text has a keyed
-state: the smallest id seen so far, with the failures that its rows were counted under.  When
-a smaller id arrives, the earlier rows are retracted from their counter and counted again with
-E failed.  The counters, documents per part and set of failed filters, are written per batch as
-signed changes under the batch's id; a batch that runs again overwrites its own.
+state: the smallest id seen so far and the failures that its rows were counted under.  When a
+smaller id arrives, the earlier rows are retracted from their counter and counted again with E
+failed.
+
+State and counters are tables with a partition per batch: the rows that became the first of their
+text in it, and the signed changes of the counters (documents per part and set of failed filters).
+A batch reads the partitions before its own and overwrites its own, so one that runs again after
+a failure leaves the same.  The texts themselves are read once and never shuffled: what follows
+are rows of a digest and a few numbers, dealt by digest and id, so that a text of any number of
+copies is spread.
 
 From the at most 32 counters of a part follow all orders of the filters: after every step what is
 kept, removed, redundant, failed by no other filter, and lost of the labelled documents.
@@ -16,18 +22,14 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import json
 import os
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from riskline.llm.common import scratch, staged
+from riskline.llm.common import drop_staged, scratch, staged
 
 FILTERS = "ABCDE"
 MIN_WORDS = 50
@@ -41,16 +43,8 @@ _CAPITALS = bytes(range(65, 91))
 _FOLLOWS = bytes(range(0x80, 0xC0))  # bytes of UTF-8 that are no code point of their own
 _E = 1 << FILTERS.index("E")
 _ROW = "key binary, doc_id long, part string, mask int"
-_COUNTED = "key binary, doc_id long, part string, mask int, good int, toxic int, n long"
+_STATE = "key binary, doc_id long, part string, mask int, good int, toxic int, n long"
 _CHANGE = "part string, mask int, good long, toxic long, n long"
-_STATE = "id long, counted string"
-#: State that outgrows an executor's memory stays on its disk, changes go to the checkpoint.
-_STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-}
 
 
 def failures(text: bytes) -> int:
@@ -75,58 +69,6 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, names=["key", "doc_id", "part", "mask"])
 
 
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows summed before they are shuffled, so that a text of any number of copies sends its
-    state one row from each piece.  A row with a smaller id of its text in the same piece has
-    failed E whatever comes, and a null id never does: such rows are only counted, under the key
-    of their part and task, which has no state."""
-    task = TaskContext.get().partitionId()
-    for batch in batches:
-        least: dict[bytes, int] = {}
-        rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-        for key, doc_id, *_ in rows:
-            if doc_id is not None and doc_id < least.get(key, doc_id + 1):
-                least[key] = doc_id
-        sums: dict[tuple, int] = {}
-        for key, doc_id, part, mask, good, toxic in rows:
-            if doc_id is None or doc_id > least[key]:
-                mask, key, doc_id = mask if doc_id is None else mask | _E, f"{task}:{part}".encode(), None
-            row = (key, doc_id, part, mask, good, toxic)
-            sums[row] = sums.get(row, 0) + 1
-        cols = [*zip(*((*row, n) for row, n in sums.items()))] or [()] * 7
-        kinds = (pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "doc_id", "part", "mask", "good", "toxic", "n"])
-
-
-def _retract(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The changes of the counters by the new rows of a text; the state is the smallest id and
-    what its rows are counted under."""
-    changes: list[tuple] = []
-    own, counted = state.get if state.exists else (None, "[]")
-    before = own
-    held = [tuple(c) for c in json.loads(counted)]
-    for piece in pieces:
-        for doc_id, part, mask, good, toxic, n in zip(*(piece[c].tolist() for c in ("doc_id", "part", "mask", "good", "toxic", "n"))):
-            row = (part, int(mask), int(good), int(toxic))
-            if pd.isna(doc_id):
-                changes.append((*row, int(n)))
-            elif own is None or doc_id <= own:
-                if own is None or doc_id < own:
-                    for part_, mask_, good_, toxic_, n_ in held:
-                        changes += [(part_, mask_, good_, toxic_, -n_), (part_, mask_ | _E, good_, toxic_, n_)]
-                    own, held = int(doc_id), []
-                same = [h for h in held if h[:4] == row]
-                held = [h for h in held if h[:4] != row] + [(*row, int(n) + sum(h[4] for h in same))]
-                changes.append((*row, int(n)))
-            else:
-                changes.append((part, int(mask) | _E, int(good), int(toxic), int(n)))
-    if own is not None and (own != before or json.dumps(held) != counted):
-        state.update((own, json.dumps(held)))
-    if changes:
-        part, mask, good, toxic, n = zip(*changes)
-        yield pd.DataFrame({"part": part, "mask": mask, "good": [g * c for g, c in zip(good, n)], "toxic": [t * c for t, c in zip(toxic, n)], "n": n})
-
-
 def _stream(spark: SparkSession, path: str, batches: int) -> DataFrame:
     """The table at ``path``, a folder of files or one file, as a stream of so many batches."""
     table = spark.read.parquet(path)
@@ -139,6 +81,38 @@ def _stream(spark: SparkSession, path: str, batches: int) -> DataFrame:
     return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
 
 
+def _counted(rows: DataFrame, mask: Column, sign: int) -> DataFrame:
+    """Changes of the counters by ``rows``, each counted ``n`` times."""
+    return rows.select("part", mask.alias("mask"), *[(sign * F.col(c) * F.col("n")).alias(c) for c in ("good", "toxic")], (sign * F.col("n")).alias("n"))
+
+
+def _batch(batch: DataFrame, known: DataFrame, folder: str, batch_id: int) -> None:
+    """Write the changes of the counters and the new state of a batch's texts."""
+    spark, none = batch.sparkSession, F.lit(0)
+    # Labels grow with the documents: they are never broadcast.
+    labelled = batch.join(known.hint("merge"), F.col("doc_id") == F.col("label_id"), "left")
+    row = ["key", "doc_id", "part", "mask", "good", "toxic"]
+    rows = staged(
+        labelled.select("key", "doc_id", "part", "mask", F.coalesce("good", none).alias("good"), F.coalesce("toxic", none).alias("toxic")).groupBy(*row).agg(F.count("*").alias("n")), "rows"
+    )
+    state = spark.read.schema(f"{_STATE}, batch int").parquet(f"{folder}/state").where(F.col("batch") < batch_id).drop("batch")
+    least = rows.where("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    before = state.groupBy("key").agg(F.min("doc_id").alias("before"))
+    # texts whose smallest id is in this batch, alone or with an earlier row of the same id
+    first = staged(least.join(before, "key", "left").where("before is null or doc_id <= before"), "first")
+    now = staged(rows.join(first.drop("before"), ["key", "doc_id"]), "now")
+    gone = state.join(first.where("doc_id < before").select("key", F.col("before").alias("doc_id")), ["key", "doc_id"])
+    passes, fails = F.col("mask"), F.col("mask").bitwiseOR(_E)
+    changes = _counted(rows, F.when(F.col("doc_id").isNull(), passes).otherwise(fails), 1)
+    for some, sign in ((now, 1), (gone, -1)):
+        changes = changes.unionByName(_counted(some, passes, sign)).unionByName(_counted(some, fails, -sign))
+    now.select(*row, "n").write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+    sums = [F.sum(c).alias(c) for c in ("good", "toxic", "n")]
+    changes.groupBy("part", "mask").agg(*sums).write.mode("overwrite").parquet(f"{folder}/counters/batch={batch_id}")
+    for table in (rows, first, now):
+        drop_staged(table)
+
+
 def count_failures(spark: SparkSession, path: str, labels: DataFrame, folder: str | None = None, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
     """(part, mask, good, toxic, n): documents of the Parquet table at ``path`` by part and set of
     failed filters (bits from A up), and how many of them are labelled good or toxic.
@@ -150,30 +124,18 @@ def count_failures(spark: SparkSession, path: str, labels: DataFrame, folder: st
     counters, flag = f"{folder}/counters", lambda c: F.coalesce(F.max((F.col(c) == 1).cast("int")), F.lit(0))
     known = staged(labels.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(flag("quality").alias("good"), flag("toxic").alias("toxic")), "labels")
     spark.createDataFrame([], _CHANGE).write.mode("overwrite").parquet(f"{counters}/batch=-1")  # the table exists without any batch
+    spark.createDataFrame([], _STATE).write.mode("overwrite").parquet(f"{folder}/state/batch=-1")
     docs = _stream(spark, path, batches).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
         F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
     )
-    none = F.lit(0)
-    rows = docs.mapInArrow(_rows, _ROW).join(known, F.col("doc_id") == F.col("label_id"), "left").select(
-        "key", "doc_id", "part", "mask", F.coalesce("good", none).alias("good"), F.coalesce("toxic", none).alias("toxic")
-    )
-    changes = rows.mapInArrow(_combine, _COUNTED).groupBy("key").applyInPandasWithState(_retract, _CHANGE, _STATE, "update", GroupStateTimeout.NoTimeout)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        sums = [F.sum(c).alias(c) for c in ("good", "toxic", "n")]
-        batch.groupBy("part", "mask").agg(*sums).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
-
-    old = {k: spark.conf.get(k, None) for k in _STATE_STORE}
-    for k, v in _STATE_STORE.items():
-        spark.conf.set(k, v)
-    try:
-        query = changes.writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/state").outputMode("update").trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    written = spark.read.schema(_CHANGE).parquet(*[f"{counters}/batch=*"])
+        _batch(batch, known, folder, batch_id)
+
+    query = docs.mapInArrow(_rows, _ROW).writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/offsets").trigger(availableNow=True).start()
+    query.awaitTermination()
+    written = spark.read.schema(_CHANGE).parquet(counters)
     return written.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in ("good", "toxic", "n")])
 
 
