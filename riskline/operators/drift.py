@@ -14,6 +14,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from riskline.functions.stats import kolmogorov_sf
 from riskline.operators.explore import to_long
 from riskline.operators.metrics import classification_metrics
 from riskline.operators.ordered import row_numbers, running_totals
+from riskline.operators.selection import select_ranks
 
 # fixed values: drift features, period size, alert limits and texts
 DRIFT_FEATURES = ["Amount", "Hour", "PCA_Magnitude"]
@@ -55,8 +58,20 @@ def drift_component(p: Column) -> Column:
 
 def ks_two_sample(base: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
     """KS statistic and asymptotic p-value per feature."""
-    long = to_long(base, features, []).withColumn("_cur", F.lit(0)).unionByName(
-        to_long(current, features, []).withColumn("_cur", F.lit(1)))
+    return _ks(to_long(base, features, []).withColumn("_cur", F.lit(0)).unionByName(to_long(current, features, []).withColumn("_cur", F.lit(1))))
+
+
+def ks_since_baseline(df: DataFrame, features: list[str], key: str = "event_id", baseline_fraction: float = 0.25) -> DataFrame:
+    """D1/D2 of the first ``baseline_fraction`` of the rows in ``key`` order against the rest.
+
+    The baseline's last key is one order statistic, found by histogram selection on the key
+    alone; rows are then told apart by comparison.  ``key`` is unique."""
+    ends = select_ranks(df.select(key), key, {"last": lambda n, _: math.floor(n * baseline_fraction) - 1})
+    flag = (F.col(key) > F.lit(ends[0].value)).cast("int") if ends else F.lit(1)
+    return _ks(to_long(df.where(F.col(key).isNotNull()).withColumn("_cur", flag), features, ["_cur"]))
+
+
+def _ks(long: DataFrame) -> DataFrame:
     long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     rt = running_totals(long, "value", {"b": (F.col("_cur") == 0).cast("long"), "c": (F.col("_cur") == 1).cast("long")}, group=["feature"])
     gap = F.abs(F.col("cum_b") / F.col("tot_b") - F.col("cum_c") / F.col("tot_c"))

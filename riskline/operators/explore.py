@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskline.operators.selection import quantile_table
 
 def r6(c: Column) -> Column:
     return F.round(c, 6)
@@ -21,11 +22,9 @@ def fraud_by_category(df: DataFrame, category: str = "Amount_Category", label: s
 
 def amount_by_class(df: DataFrame, amount: str = "Amount", label: str = "Class") -> DataFrame:
     """A3: mean and exact median of Amount per class."""
-    from riskline.operators.ordered import exact_quantiles
-
-    med = exact_quantiles(df, amount, [0.5], group=[label], names=["median_amount"])
+    med = quantile_table(df, amount, [0.5], [label], ["median_amount"])
     mean = df.groupBy(label).agg(F.avg(amount).alias("mean_amount"), F.count(F.lit(1)).alias("n"))
-    return mean.join(med, on=label).select(label, "n", r6(F.col("mean_amount")).alias("mean_amount"), r6(F.col("median_amount")).alias("median_amount"))
+    return mean.join(F.broadcast(med.withColumnRenamed(label, "_g")), F.col(label).eqNullSafe(F.col("_g")), "left").select(label, "n", r6(F.col("mean_amount")).alias("mean_amount"), r6(F.col("median_amount")).alias("median_amount"))
 
 
 def to_long(df: DataFrame, columns: list[str], keep: list[str], name: str = "feature", value: str = "value") -> DataFrame:
@@ -35,10 +34,8 @@ def to_long(df: DataFrame, columns: list[str], keep: list[str], name: str = "fea
 
 def five_number_summary(df: DataFrame, columns: list[str], label: str = "Class") -> DataFrame:
     """A4: min, quartiles and max per class and feature (exact)."""
-    from riskline.operators.ordered import exact_quantiles
-
     long = to_long(df, columns, [label])
-    q = exact_quantiles(long, "value", [0.0, 0.25, 0.5, 0.75, 1.0], group=[label, "feature"], names=["q0", "q1", "q2", "q3", "q4"])
+    q = quantile_table(long, "value", [0.0, 0.25, 0.5, 0.75, 1.0], [label, "feature"], ["q0", "q1", "q2", "q3", "q4"])
     return q.select(label, "feature", *[r6(F.col(c)).alias(n) for c, n in zip(["q0", "q1", "q2", "q3", "q4"], ["min", "q1", "median", "q3", "max"])])
 
 

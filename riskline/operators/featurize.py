@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskline.functions import features as fx
-from riskline.operators.ordered import exact_quantiles
+from riskline.operators.selection import column_quantiles
 
 # fixed values (reference defaults)
 OUTLIER_Z = 3.0
@@ -98,8 +98,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def impute_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Fill NULL/NaN of numeric columns with the exact (interpolated) median.
 
-    Medians come from the bucketed exact-quantile operator, one pass per column with
-    missing values; only the medians (one double per column) reach the driver.
+    The medians of all columns with missing values are searched in the same passes of the
+    histogram selection; only they (one double per column) reach the driver.
     """
     columns = columns or numeric_columns(df)
     clean = df
@@ -110,14 +110,10 @@ def impute_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     todo = [c for c in columns if null_counts[c]]
     if not todo:
         return clean
-    medians = {}
-    for c in todo:
-        row = exact_quantiles(clean, c, [0.5], names=["m"]).first()
-        medians[c] = row["m"] if row else None
+    medians = {c: q[0] for c, q in column_quantiles(clean, todo, [0.5]).items()}
     out = clean
     for c, m in medians.items():
-        if m is not None:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(m).cast(df.schema[c].dataType)))
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(m).cast(df.schema[c].dataType)))
     return out
 
 
@@ -144,16 +140,16 @@ def filter_amount_outliers(df: DataFrame, threshold: float = OUTLIER_Z, amount:
 
 def iqr_filter(df: DataFrame, col: str = "Amount", k: float = 1.5) -> DataFrame:
     """C4: keep Q1 - k*IQR <= x <= Q3 + k*IQR (exact quartiles)."""
-    q = exact_quantiles(df, col, [0.25, 0.75], names=["q1", "q3"]).first()
-    if q is None or q["q1"] is None:
+    found = column_quantiles(df, [col], [0.25, 0.75])
+    if not found:
         return df
-    iqr = q["q3"] - q["q1"]
-    return df.where(F.col(col).between(q["q1"] - k * iqr, q["q3"] + k * iqr))
+    q1, q3 = found[col]
+    return df.where(F.col(col).between(q1 - k * (q3 - q1), q3 + k * (q3 - q1)))
 
 
 def percentile_cap(df: DataFrame, col: str = "Amount", p: float = 0.995) -> DataFrame:
     """C4: cap a column at its exact p-quantile."""
-    q = exact_quantiles(df, col, [p], names=["cap"]).first()
-    if q is None or q["cap"] is None:
+    found = column_quantiles(df, [col], [p])
+    if not found:
         return df
-    return df.withColumn(col, F.least(F.col(col), F.lit(q["cap"])))
+    return df.withColumn(col, F.least(F.col(col), F.lit(found[col][0])))

@@ -5,8 +5,9 @@ operators here (running totals, exact quantiles, row numbers) instead:
 
 1. pre-aggregate to one row per distinct (group, value) where that is valid, so a
    hot value collapses to one row before any shuffle;
-2. cut the value range into balanced buckets at approximate-quantile cut points
-   (a list of at most ``n_buckets`` doubles collected once: the only driver data);
+2. cut the values of each group with more than an even share of the rows into balanced
+   buckets at the group's own approximate-quantile cut points (``n_buckets`` groups at
+   most are collected once: the only driver data); other groups are one bucket;
 3. run the window per (group, bucket), so each window task holds ~1/n of the rows;
 4. add per-(group, bucket) offsets from a table of at most groups x buckets rows,
    joined back (AQE broadcasts it from its measured runtime size).
@@ -22,24 +23,46 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskline.session import shuffle_partitions
 
 _B = "_rl_bucket"
 
 
-def _cut_points(df: DataFrame, col: str, n_buckets: int, accuracy: int = 20000) -> list[float]:
+def _cut_points(df: DataFrame, col: str, group: list[str], n_buckets: int, accuracy: int = 20000) -> dict[tuple, list[float]]:
+    """Equi-depth cut points of each group that has more than an even share of the rows; the
+    others are one bucket anyway.  So at most ``n_buckets`` groups reach the driver."""
     if n_buckets <= 1:
-        return []
+        return {}
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("q")).first()
-    qs = row["q"] if row is not None and row["q"] is not None else []
-    return sorted({float(q) for q in qs if q is not None and not math.isnan(q)})
-
-
-def _with_bucket(df: DataFrame, col: str, cuts: list[float], descending: bool) -> DataFrame:
-    if not cuts:  # a single bucket (tiny or constant input)
+    found = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("_q"))
+    large = found.orderBy(F.col("_n").desc()).limit(n_buckets).collect()
+    total = sum(r["_n"] for r in large)
+    cuts = {}
+    for r in large:
+        if r["_n"] * n_buckets > total and r["_q"]:
+            every = max(1, total // r["_n"])  # a group's share of the buckets is its share of the rows
+            cuts[tuple(r[g] for g in group)] = sorted({float(q) for q in r["_q"][every - 1 :: every] if not math.isnan(q)})
+    return cuts
+
+
+def _with_bucket(df: DataFrame, col: str, cuts: dict[tuple, list[float]], group: list[str], descending: bool) -> DataFrame:
+    if not any(cuts.values()):  # one bucket (tiny or constant input)
         return df.withColumn(_B, F.lit(0))
+    if not group:
+        return _with_one_bucketing(df, col, cuts[()], descending)
+    schema = T.StructType([*[T.StructField(f"_rl_g{i}", df.schema[g].dataType) for i, g in enumerate(group)], T.StructField("_rl_cuts", T.ArrayType(T.DoubleType()))])
+    table = F.broadcast(df.sparkSession.createDataFrame([(*k, v) for k, v in cuts.items()], schema))  # n_buckets rows at most
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_rl_g{i}"))
+    below = F.size(F.filter("_rl_cuts", lambda c: c <= F.col(col).cast("double")))
+    b = F.size("_rl_cuts") - below if descending else below
+    return df.join(table, same, "left").withColumn(_B, F.when(F.col("_rl_cuts").isNull(), 0).otherwise(b)).drop("_rl_cuts", *[f"_rl_g{i}" for i in range(len(group))])
+
+
+def _with_one_bucketing(df: DataFrame, col: str, cuts: list[float], descending: bool) -> DataFrame:
     splits = [-math.inf, *cuts, math.inf]
     tmp = "_rl_bucket_in"
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=_B, handleInvalid="keep").transform(
@@ -72,8 +95,10 @@ def _bucketed_running(
     n_buckets = n_buckets or shuffle_partitions(rows.sparkSession)
     names = list(values)
     vals = rows.select(*keep, *[e.alias(f"_rl_v_{n}") for n, e in values.items()])
-    cuts = _cut_points(vals, order[0], n_buckets)
-    b = _with_bucket(vals, order[0], cuts, descending)
+    if isinstance(rows.schema[order[0]].dataType, (T.StringType, T.BinaryType)):
+        raise TypeError(f"{order[0]}: rows are cut into buckets by number, date or time, not by text")
+    cuts = _cut_points(vals, order[0], group, n_buckets)
+    b = _with_bucket(vals, order[0], cuts, group, descending)
 
     per_bucket = b.groupBy(*group, _B).agg(*[F.sum(f"_rl_v_{n}").alias(f"_rl_bt_{n}") for n in names])
     before = Window.partitionBy(*group).orderBy(F.col(_B)).rowsBetween(Window.unboundedPreceding, -1)

@@ -1,9 +1,9 @@
-"""Exact scalers C8-C10, the preprocessor C11, feature alignment P5 and C13.
+"""Exact scalers C8-C10, feature alignment P5 and C13.
 
 Spark ML's scalers differ from the reference (N1): ``StandardScaler`` divides by the
 sample std, ``MinMaxScaler`` maps a constant column to 0.5 and ``RobustScaler`` uses
 approximate quantiles.  These scalers fit exact statistics in one aggregate pass
-(plus the bucketed exact-quantile pass for robust columns) and apply them as plain
+(plus the histogram-selection passes for robust columns) and apply them as plain
 column arithmetic, so ``transform`` is a narrow projection with no shuffle.
 """
 
@@ -15,9 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskline.functions.features import V_COLS
-from riskline.operators import featurize as fz
-from riskline.operators import validate as val
-from riskline.operators.ordered import exact_quantile_values
+from riskline.operators.selection import column_quantiles
 
 # fixed values: the reference's scaler groups
 STANDARD_COLS = ["Time", "Hour", "Amount_Daily_Zscore", "PCA_Magnitude"]
@@ -67,16 +65,14 @@ def fit_minmax(df: DataFrame, cols: list[str]) -> ScalerModel:
 
 def fit_robust(df: DataFrame, cols: list[str]) -> ScalerModel:
     """Exact median and interquartile range."""
-    params = {}
-    for c in cols:
-        q1, med, q3 = exact_quantile_values(df, c, [0.25, 0.5, 0.75])
-        params[c] = (float(med or 0.0), _safe(None if q1 is None else q3 - q1))
+    found = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+    params = {c: (found[c][1], _safe(found[c][2] - found[c][0])) if c in found else (0.0, 1.0) for c in cols}
     return ScalerModel("robust", params)
 
 
 def fit_scalers(df: DataFrame, standard: list[str], robust: list[str], minmax: list[str]) -> list[ScalerModel]:
     """C8-C10 together: one aggregate pass for the standard and min-max statistics,
-    the bucketed exact-quantile pass for the robust columns."""
+    the histogram-selection passes for the robust columns."""
     aggs = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(standard)]
     aggs += [F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(standard)]
     aggs += [F.min(c).alias(f"lo_{i}") for i, c in enumerate(minmax)]
@@ -103,62 +99,3 @@ def align_to_features(df: DataFrame, features: list[str], label: str | None = "C
     if label and label in df.columns:
         cols.append(F.col(label))
     return df.select(*cols)
-
-
-class Preprocessor:
-    """C11: fit/transform preprocessing with frozen statistics.
-
-    fit: validate (V1) -> clean (dedup, median impute, |z| <= 3 on Amount) -> features
-    (temporal, amount with daily z-score, PCA) -> fit standard / robust / min-max.
-    transform: dedup + impute -> features -> frozen scalers -> aligned columns.  The
-    outlier filter is not applied at transform (N6: never drop scoring rows).
-    """
-
-    def __init__(self, temporal_features=True, amount_features=True, pca_features=True, remove_outliers=True,
-                 outlier_threshold=fz.OUTLIER_Z, night_variant="notebook", category_variant="notebook",
-                 extreme_threshold=3.0, min_rows=val.MIN_ROWS):
-        self.cfg = dict(temporal_features=temporal_features, amount_features=amount_features, pca_features=pca_features,
-                        remove_outliers=remove_outliers, outlier_threshold=outlier_threshold)
-        self.night_variant, self.category_variant, self.extreme_threshold = night_variant, category_variant, extreme_threshold
-        self.min_rows = min_rows
-        self.scalers: list[ScalerModel] = []
-        self.feature_names: list[str] = []
-        self.is_fitted = False
-        self.impute_values: dict[str, float] = {}
-
-    def _features(self, df: DataFrame) -> DataFrame:
-        if self.cfg["temporal_features"]:
-            df = fz.add_temporal(df, self.night_variant)
-        if self.cfg["amount_features"]:
-            df = fz.add_daily_zscore(fz.add_amount(df, self.category_variant)) if "Day" in df.columns else fz.add_amount(df, self.category_variant)
-        if self.cfg["pca_features"]:
-            df = fz.add_pca(df, self.extreme_threshold)
-        return df
-
-    def fit(self, df: DataFrame) -> "Preprocessor":
-        required = ["Time", "Amount", *V_COLS]
-        report = val.dataset_quality(df, required, min_rows=self.min_rows).first()
-        if not report["is_valid"]:
-            raise ValueError(f"invalid data: {report['message']}")
-        clean = fz.impute_median(fz.drop_duplicates(df))
-        if self.cfg["remove_outliers"]:
-            clean = fz.filter_amount_outliers(clean, self.cfg["outlier_threshold"])
-        feats = self._features(clean)
-        present = lambda cols: [c for c in cols if c in feats.columns]
-        self.scalers = fit_scalers(feats, present(STANDARD_COLS), present(ROBUST_COLS), present(MINMAX_COLS))
-        self.feature_names = [c for c in feats.columns if c not in ("Class", "event_id")]
-        self.is_fitted = True
-        return self
-
-    def transform(self, df: DataFrame, keep: list[str] = ("event_id",)) -> DataFrame:
-        if not self.is_fitted:
-            raise ValueError("the preprocessor must be fitted before transform")
-        clean = fz.impute_median(fz.drop_duplicates(df))
-        out = self._features(clean)
-        for s in self.scalers:
-            out = s.transform(out)
-        keep_cols = [c for c in keep if c in out.columns]
-        return out.select(*keep_cols, *align_to_features(out, self.feature_names, "Class").columns)
-
-    def fit_transform(self, df: DataFrame) -> DataFrame:
-        return self.fit(df).transform(df)

@@ -195,11 +195,6 @@ ks AS (SELECT feature, max(abs(cb / n_base - cc / n_current)) AS ks_stat, max(n_
 ksp AS (SELECT *, """ + kolmogorov_sf_sql("sqrt(CAST(n_base AS DOUBLE) * n_current / (n_base + n_current)) * ks_stat") + " AS p_value FROM ks)"
 
 
-def _baseline_current(spark, sf):
-    p = dr.assign_periods(fx.monitoring_input(spark, sf))
-    return p.where(F.col("period") == 0), p.where(F.col("period") > 0)
-
-
 @query(
     "d1_ks_baseline_vs_current",
     with_ctes(TX, FEAT, MON, _BASE_SQL, _KS_GLOBAL_SQL)
@@ -207,8 +202,7 @@ def _baseline_current(spark, sf):
 )
 def d1_ks_baseline_vs_current(spark, sf):
     """Two-sample KS statistic and asymptotic p-value, first quarter vs the rest."""
-    base, cur = _baseline_current(spark, sf)
-    ks = dr.ks_two_sample(base, cur, _KS_FEATS)
+    ks = dr.ks_since_baseline(fx.monitoring_input(spark, sf), _KS_FEATS)
     return ks.select("feature", F.round("ks_stat", 6).alias("ks_stat"), "n_base", "n_current", F.round("p_value", 6).alias("p_value"))
 
 
@@ -219,8 +213,7 @@ def d1_ks_baseline_vs_current(spark, sf):
 )
 def d3_drift_score(spark, sf):
     """D3: drift score, mean of (1 - p) over Amount, Hour, PCA_Magnitude."""
-    base, cur = _baseline_current(spark, sf)
-    d = dr.drift_score(dr.ks_two_sample(base, cur, _KS_FEATS))
+    d = dr.drift_score(dr.ks_since_baseline(fx.monitoring_input(spark, sf), _KS_FEATS))
     return d.select(F.round("data_drift_score", 6).alias("data_drift_score"))
 
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskline.functions.rng import lcg_uniform_sql
 from riskline.operators import featurize as fz
 from riskline.operators import scale as sc
 from riskline.operators import split as sp
+from riskline.operators.preprocess import TransactionPreprocessor, TransactionPreprocessorModel
 from riskline.plans.registry import query
 from riskline.plans.sql import FEAT, TX, with_ctes
+from riskline.session import ensure_checkpoint_dir
 from riskline.sources import fixtures as fx
 
 _DZ = "dz AS (SELECT f.*, (f.Amount - s.m) / (coalesce(s.sd, 0.0) + 1e-8) AS Amount_Daily_Zscore FROM feat f JOIN (SELECT Day, avg(Amount) AS m, stddev_samp(Amount) AS sd FROM feat GROUP BY Day) s ON f.Day = s.Day)"
@@ -124,8 +129,60 @@ def c13_standardize_on_train(spark, sf):
     return test.select("event_id", *[F.round(c, 6).alias(c) for c in sc.MODEL_FEATURES])
 
 
-@query("c11_preprocessor_fit_transform")
+def _dirty(spark, sf):
+    """Transactions with missing amounts and components and an exact copy of every tenth row."""
+    tx = fx.transactions(spark, sf)
+    key = F.col("event_id")
+    tx = tx.withColumns({"Amount": F.when(F.pmod(key, F.lit(97)) == 0, F.lit(None)).otherwise(F.col("Amount")),
+                         "V3": F.when(F.pmod(key, F.lit(101)) == 0, F.lit(float("nan"))).otherwise(F.col("V3"))})
+    return tx.unionByName(tx.where(F.pmod(key, F.lit(10)) == 0))
+
+
+_XFEAT = FEAT.replace("feat", "xfeat").replace("FROM transactions", "FROM ximp")
+_FFEAT = FEAT.replace("FROM transactions", "FROM fimp")
+_C11_COLS = ["Time", *[c for c in sc.V_COLS], "Amount", "Hour", "Day", "Is_Night", "Is_Weekend", "Amount_log", "Amount_Category", "PCA_Magnitude", "PCA_Extreme_Count", "Amount_Daily_Zscore"]
+
+
+def _c11_sql() -> str:
+    q = lambda c: '"Time"' if c == "Time" else c
+    fill = "SELECT d.* REPLACE (coalesce(d.Amount, med.a) AS Amount, coalesce(d.V3, med.v) AS V3) FROM {} d, med"
+    z = "(f.Amount - coalesce(s.m, g.m)) / (coalesce(s.sd, g.sd) + 1e-8) AS Amount_Daily_Zscore"
+    z = f"SELECT f.*, {z} FROM {{}} f LEFT JOIN days s ON f.Day = s.Day, g"
+    stats = [f"avg({q(c)}) AS m_{c}, stddev_pop({q(c)}) AS s_{c}" for c in sc.STANDARD_COLS]
+    stats += [f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in sc.ROBUST_COLS]
+    stats += [f"min({c}) AS m_{c}, max({c}) - min({c}) AS s_{c}" for c in sc.MINMAX_COLS]
+    scaled = {*sc.STANDARD_COLS, *sc.ROBUST_COLS, *sc.MINMAX_COLS}
+    out = [f"round(({q(c)} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {q(c)}" if c in scaled else f"round({c}, 6) AS {c}" for c in _C11_COLS]
+    return with_ctes(
+        TX,
+        "one AS (SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN NULL ELSE Amount END AS Amount, CASE WHEN event_id % 101 = 0 THEN NULL ELSE V3 END AS V3) FROM transactions)",
+        "dirty AS (SELECT * FROM one UNION ALL SELECT * FROM one WHERE event_id % 10 = 0)",
+        "ded AS (SELECT DISTINCT * FROM dirty)",
+        "med AS (SELECT quantile_cont(Amount, 0.5) AS a, quantile_cont(V3, 0.5) AS v FROM ded)",
+        f"dimp AS ({fill.format('ded')})", f"ximp AS ({fill.format('dirty')})",
+        "st AS (SELECT avg(Amount) AS m, stddev_samp(Amount) AS s FROM dimp)",
+        "fimp AS (SELECT dimp.* FROM dimp, st WHERE abs((Amount - m) / s) <= 3)",
+        _FFEAT, _XFEAT,
+        "days AS (SELECT Day, avg(Amount) AS m, stddev_samp(Amount) AS sd FROM feat GROUP BY Day)",
+        "g AS (SELECT avg(Amount) AS m, stddev_samp(Amount) AS sd FROM feat)",
+        f"fz AS ({z.format('feat')})", f"xz AS ({z.format('xfeat')})",
+        f"sc AS (SELECT {', '.join(stats)} FROM fz)",
+    ) + f"SELECT event_id, {', '.join(out)}, Class FROM xz, sc"
+
+
+@query("c11_preprocessor_fit_transform", _c11_sql())
 def c11_preprocessor_fit_transform(spark, sf):
-    """C11: preprocessor fit on the table, transform of the same table (rows check)."""
-    df = fx.transactions(spark, sf)
-    return sc.Preprocessor().fit_transform(df)
+    """C11: fit on rows with missing values, copies and outliers; transform keeps every row."""
+    df = _dirty(spark, sf)
+    out = TransactionPreprocessor().fit(df).transform(df)
+    return out.select("event_id", *[F.round(c, 6).alias(c) for c in _C11_COLS], "Class")
+
+
+@query("c11_preprocessor_saved", _c11_sql())
+def c11_preprocessor_saved(spark, sf):
+    """C11: the fitted preprocessor written, loaded and applied gives the same rows."""
+    df = _dirty(spark, sf)
+    path = os.path.join(ensure_checkpoint_dir(spark), "models", f"preprocessor-{uuid.uuid4().hex}")
+    TransactionPreprocessor().fit(df).write().save(path)
+    out = TransactionPreprocessorModel.load(path).transform(df)
+    return out.select("event_id", *[F.round(c, 6).alias(c) for c in _C11_COLS], "Class")
