@@ -30,8 +30,8 @@ GAP = 0.003
 #: Entries of a worker's word cache, which only saves time.
 CACHE_WORDS = 1_500_000
 
-_BLANKS = re.compile("[\x20\x09-\x0d]+")
-_POINTS = re.compile("(?<=[a-z])(?=[.,])")
+_POINTS = re.compile(rb"(?<=[a-z])(?=[.,])")
+_OTHER_POINTS = re.compile(rb"[^a-z\s][.,]")
 _WORKER: dict = {}
 
 
@@ -50,24 +50,29 @@ class _Ids(dict):
         super().__init__()
         self.tok = Tokenizer.from_file(path)
 
-    def fill(self, words: set[str]) -> None:
+    def fill(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
             new = list(words)
-        for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
+        for w, e in zip(new, self.tok.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)):
             self[w] = np.array(e.ids, "<u4").tobytes()
 
 
-def _words(text: str) -> list[str]:
+def _words(text: str) -> list[bytes]:
     """Parts of a text that the tokenizer treats each on its own, in lower case as it does.
 
     Letters and points never share a piece.  Its special tokens are matched in the raw text,
-    so a text that may hold one is only split at white space."""
-    if "<|" in text:
-        return _BLANKS.split(text)
-    lower = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    return _BLANKS.split(_POINTS.sub(" ", lower))
+    so a text that may hold one is only split at white space.  ``bytes.split`` knows just the
+    ASCII white space; where every point follows a letter or white space, plain replacement
+    parts the points."""
+    raw = text.encode("utf-8", "surrogatepass")
+    if b"<|" in raw:
+        return raw.split()
+    lower = raw.lower()
+    if _OTHER_POINTS.search(lower):
+        return _POINTS.sub(b" ", lower).split()
+    return lower.replace(b".", b" .").replace(b",", b" ,").split()
 
 
 def _tokenise(tokenizer: str, capacity: int, end_id: int):
