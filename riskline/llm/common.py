@@ -43,18 +43,29 @@ def keyed(df: DataFrame) -> DataFrame:
     return staged(df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.monotonically_increasing_id().alias("row_key")), "keyed")
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the folder of a table from :func:`staged` that nothing reads any more."""
+def _folders(df: DataFrame) -> set[str]:
+    return {f.rsplit("/", 2)[0].split(":", 1)[-1].lstrip("/") for f in df.inputFiles()}
+
+
+def drop_staged(df: DataFrame, keep: DataFrame | None = None) -> None:
+    """Delete the folders of tables from :func:`staged` that ``df`` reads and nothing else does
+    any more; those that ``keep`` reads stay."""
     spark = df.sparkSession
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     paths = _STAGED.get(spark.sparkContext.applicationId, [])
-    folders = {f.rsplit("/", 2)[0].split(":", 1)[-1].lstrip("/") for f in df.inputFiles()}
+    folders = _folders(df) - (_folders(keep) if keep is not None else set())
     for p in [p for p in paths if p.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") in folders]:
         parent = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p).getParent()
         parent.getFileSystem(conf).delete(parent, True)
         paths.remove(p)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries now: its cleaner does so once the
+    driver's JVM has collected their plans, which an idle heap puts off for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables staged by this application; results that still read them must
     have been written before.  Returns the number of folders deleted."""

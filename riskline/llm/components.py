@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.llm.common import staged
+from riskline.llm.common import drop_staged, staged
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -24,7 +24,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).where("a <> b")
         small = small.union(low.select("a", F.col("m").alias("b"))).distinct()
-        e = staged(small, "edges")
+        e, past = staged(small, "edges"), e
+        drop_staged(past)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == total:
             break

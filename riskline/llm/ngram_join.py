@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from riskline.llm.common import keyed, staged, text_or_empty
+from riskline.llm.common import drop_staged, keyed, staged, text_or_empty, tidy
 from riskline.llm.components import components
 
 SHINGLE = 4
@@ -102,7 +102,7 @@ def _unsqueeze(data: bytes) -> np.ndarray:
 _SCANNED = "kind int, doc_id long, n long, class binary, block long, text binary, shard int, keys binary"
 
 
-def _scan(bits: int, shards: int):
+def _scan(bits: int, shards: int, words: int):
     """Document rows (kind 0) tagged with a block, and the block's keys by range (kind 1).
 
     A key is the top ``bits`` of a shingle's hash; keys only order shingles, so that two
@@ -124,7 +124,7 @@ def _scan(bits: int, shards: int):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = text.as_py()
-                h = shingles(s)
+                h = shingles(s, words)
                 rows.append({"kind": 0, "doc_id": doc_id, "n": len(h), "class": xxh3_128_digest(h.tobytes()) if len(h) else None, "block": (part << 24) + block, "text": squeeze.compress(s.encode("utf-8", "surrogatepass")) if len(h) else None})
                 if len(h):
                     keys.append(_distinct(h >> _U(64 - bits)))
@@ -164,7 +164,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _postings(bits: int, percent: int):
+def _postings(bits: int, percent: int, words: int):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         if found.num_rows:
             keys = np.concatenate([_unsqueeze(k.as_py()) for k in found.column("keys")])
@@ -180,7 +180,7 @@ def _postings(bits: int, percent: int):
             if cls in seen:
                 continue
             seen.add(cls)
-            h = shingles(_plain(text))
+            h = shingles(_plain(text), words)
             own = h >> _U(64 - bits)
             at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
             times = np.where(keys[at] == own, freq[at], 1) if len(keys) else np.ones(len(h), np.uint32)
@@ -220,15 +220,15 @@ def _filters(percent: int) -> str:
     )
 
 
-def _verify(percent: int):
+def _verify(percent: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, x = None, None
         for batch in batches:
             good = []
             for a, s, t in zip(batch.column("a"), batch.column("s"), batch.column("t")):
                 if a.as_py() != last:
-                    last, x = a.as_py(), shingles(_plain(s))
-                y = shingles(_plain(t))
+                    last, x = a.as_py(), shingles(_plain(s), words)
+                y = shingles(_plain(t), words)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -236,23 +236,24 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
     """The pairs (a, b) of classes that are within the threshold, each compared once."""
     got = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("s")), "a").join(
         texts.select(F.col("class").alias("b"), F.col("text").alias("t")), "b"
     )
-    return staged(got.select("a", "b", "s", "t").mapInArrow(_verify(percent), "a binary, b binary"), "links")
+    return staged(got.select("a", "b", "s", "t").mapInArrow(_verify(percent, words), "a binary, b binary"), "links")
 
 
-def _class_components(scanned: DataFrame, bits: int, shards: int, percent: int) -> DataFrame:
+def _class_components(scanned: DataFrame, bits: int, shards: int, percent: int, words: int) -> DataFrame:
     """(class, root) for the classes with a link to another one."""
     docs = scanned.where("kind = 0 and n > 0")
     found = scanned.where("kind = 1").groupBy("shard").applyInArrow(_frequent, "block long, keys binary, freq binary")
     postings = staged(
         docs.select("block", "class", "text").groupBy("block").cogroup(found.groupBy("block"))
-        .applyInArrow(_postings(bits, percent), "gram long, class binary, n int, pos int, " + ", ".join(f"bits{k} long" for k in range(SKETCH))).distinct(),
+        .applyInArrow(_postings(bits, percent, words), "gram long, class binary, n int, pos int, " + ", ".join(f"bits{k} long" for k in range(SKETCH))).distinct(),
         "postings",
     )
+    tidy(scanned.sparkSession)
     # the text of one document of each class that has postings; copies are told apart by block
     # and id, so that only one of them is shipped
     some = docs.select("class", "block", "doc_id").join(postings.select("class").distinct(), "class", "left_semi")
@@ -261,7 +262,9 @@ def _class_components(scanned: DataFrame, bits: int, shards: int, percent: int)
         docs.join(some.withColumnRenamed("doc_id", "one"), ["class", "block"]).where("doc_id <=> one").select("class", "text").dropDuplicates(["class"]),
         "texts",
     )
+    tidy(scanned.sparkSession)
     test = F.expr(_filters(percent))
+    past: list[DataFrame] = []
     labels = postings.select("class", F.col("class").alias("root")).distinct()
     links = None
     for turn in range(STARS + 1):
@@ -282,7 +285,7 @@ def _class_components(scanned: DataFrame, bits: int, shards: int, percent: int)
             told = members.withColumn("before", F.collect_list("gram").over(back))
             pairs = _side(told, "x", "before").join(_side(told, "y", "before"), "gram").where("x_root < y_root").where(test).where("not arrays_overlap(x_before, y_before)")
         pairs = pairs.where(test).select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).where("a <> b").distinct()
-        new = _links(pairs, texts, percent)
+        new = _links(pairs, texts, percent, words)
         links = new if links is None else links.union(new)
         found_components = components(links)
         labels = staged(
@@ -290,6 +293,14 @@ def _class_components(scanned: DataFrame, bits: int, shards: int, percent: int)
             .select("class", F.coalesce("component", "class").alias("root")),
             "labels",
         )
+        # what the turn has read and no later one does
+        past += [found_components, *([members] if turn else [])]
+        for table in past:
+            drop_staged(table)
+        past = [labels]
+        tidy(scanned.sparkSession)
+    for table in (links, texts, postings):
+        drop_staged(table)
     return labels
 
 
@@ -297,7 +308,7 @@ def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
     return members.select("gram", *[F.col(c).alias(f"{side}_{c}") for c in (*_POSTING, "root", *more)])
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class, root (of the class's component).
 
     Null and blank texts have no shingles, class and root null.
@@ -308,13 +319,13 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     guess = size // 4 + 1  # shingles, roughly; only sizes ranges and keys
     bits = max(32, min(64, guess.bit_length() + 9))
     shards = max(1, guess // RANGE_KEYS)
-    scanned = staged(rows.mapInArrow(_scan(bits, shards), _SCANNED), "scanned")
-    roots = _class_components(scanned, bits, shards, percent)
+    scanned = staged(rows.mapInArrow(_scan(bits, shards, words), _SCANNED), "scanned")
+    roots = _class_components(scanned, bits, shards, percent, words)
     plain = scanned.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "class")
     return plain.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
-def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_copies.
 
     ``component_id`` is the smallest doc_id reachable over links, its own included; a document
@@ -322,7 +333,9 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null ids are ignored in that minimum (null if there is no other).  Repeated rows are
     copies of each other.  Other columns are ignored.
     """
-    rows = staged(jaccard_classes(docs, id_col, text_col, percent), "rows")
+    found = jaccard_classes(docs, id_col, text_col, percent, words)
+    rows = staged(found, "rows")
+    drop_staged(found, keep=docs)
     least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     copies = rows.where("class is not null").groupBy("class").agg(F.count("*").alias("n_copies"))
     return rows.join(least, "root", "left").join(copies, "class", "left").select(
@@ -331,17 +344,19 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each component of links: the one of smallest id (null last).
 
     Rows without shingles stay.  The rows are written once with their key."""
     rows = keyed(docs)
     ids = rows.select(F.col("row")[id_col].alias("id"), "row_key")
-    found = jaccard_classes(rows.select("row_key", F.col("row")[text_col].alias("text")), "row_key", "text", percent)
+    found = jaccard_classes(rows.select("row_key", F.col("row")[text_col].alias("text")), "row_key", "text", percent, words)
     # only components of two rows or more can lose rows
     found = found.where("root is not null").select("root", F.col("doc_id").alias("row_key"))
     large = found.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     members = staged(found.join(large, "root").join(ids, "row_key"), "members")
+    drop_staged(found, keep=rows)
+    tidy(docs.sparkSession)
     order = F.struct(F.col("id").isNull().alias("z"), "id", "row_key")
     stays = members.groupBy("root").agg(F.min(order)["row_key"].alias("stays"))
     gone = members.join(stays, "root").where("row_key <> stays").select("row_key")
