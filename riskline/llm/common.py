@@ -60,6 +60,21 @@ def drop_staged(df: DataFrame, keep: DataFrame | None = None) -> None:
         paths.remove(p)
 
 
+def staged_paths(spark: SparkSession) -> list[str]:
+    """The tables staged by this application that are not deleted yet."""
+    return list(_STAGED.get(spark.sparkContext.applicationId, []))
+
+
+def drop_paths(spark: SparkSession, paths: list[str], keep: DataFrame) -> None:
+    """Delete the staged tables at ``paths`` that ``keep`` doesn't read."""
+    conf, known, used = spark.sparkContext._jsc.hadoopConfiguration(), _STAGED.get(spark.sparkContext.applicationId, []), _folders(keep)
+    for p in paths:
+        if p in known and p.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") not in used:
+            parent = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p).getParent()
+            parent.getFileSystem(conf).delete(parent, True)
+            known.remove(p)
+
+
 def tidy(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished queries now: its cleaner does so once the
     driver's JVM has collected their plans, which an idle heap puts off for long."""

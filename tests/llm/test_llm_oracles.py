@@ -42,11 +42,11 @@ def test_language_model(spark, docs):
     assert out.score.sum() > out.base_score.sum()
 
 
-def links_of(texts, percent):
+def links_of(texts, percent, words=4):
     sets = {}
     for i, t in texts.items():
         w = (t or "").encode().lower().split()
-        sets[i] = frozenset(tuple(w[k : k + 4]) for k in range(len(w) - 3)) if len(w) > 3 else frozenset([tuple(w)] if w else [])
+        sets[i] = frozenset(tuple(w[k : k + words]) for k in range(len(w) - words + 1)) if len(w) >= words else frozenset([tuple(w)] if w else [])
     root = {i: i for i in sets}
 
     def find(i):
@@ -181,7 +181,7 @@ def test_pipeline(spark, docs):
     keep = docs[docs.text.fillna("").map(lambda t: bool(re.search(r"[^\W\d_]", t)))].copy()
     keep["norm"] = keep.text.str.replace(r"[\x20\x09-\x0D]+", " ", regex=True)
     keep = keep.sort_values("doc_id").drop_duplicates("norm")
-    root = links_of(dict(zip(keep.doc_id, keep.text)), 85)
+    root = links_of(dict(zip(keep.doc_id, keep.text)), 80, words=5)
     alive = {i for i, (_, r) in root.items() if i == r}
     assert set(got.doc_id) <= alive
     copies = got[got.start == 0].groupby("doc_id").size()
