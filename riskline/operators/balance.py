@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskline.functions.rng import lcg_int, lcg_uniform
 from riskline.operators.neighbors import knn
 from riskline.operators.ordered import row_numbers
+from riskline.sources.staging import stage
 
 # fixed values: reference defaults
 SAMPLING_RATIO = 0.1
@@ -24,8 +25,8 @@ SMOTE_FEATURES = ["Time", "Amount", "Hour", "Amount_log", "PCA_Magnitude", *[f"V
 QUALITY_GOOD, QUALITY_FAIR = 0.8, 0.5
 
 
-def _vec(df: DataFrame, features: list[str], key: str) -> DataFrame:
-    return df.selectExpr(f"`{key}` AS id", "array(" + ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in features) + ") AS vec")
+def _vec(df: DataFrame, features: list[str], key: str, more: list[str] = ()) -> DataFrame:
+    return df.selectExpr(f"`{key}` AS id", "array(" + ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in features) + ") AS vec", *more)
 
 
 def class_counts(df: DataFrame, label: str, minority: int) -> tuple[int, int]:
@@ -39,9 +40,9 @@ def n_synthetic(n_min: int, n_maj: int, ratio: float) -> int:
 
 
 def _interpolate(spark, bases: DataFrame, vecs: DataFrame, nn: DataFrame, n_new: int, k: int, seed: int, features: list[str],
-                 label: str) -> DataFrame:
+                 label: str, n_base: int | None = None) -> DataFrame:
     """Draw n_new (base, neighbour-rank, gap) triples and build the new rows."""
-    n_base = bases.count()
+    n_base = bases.count() if n_base is None else n_base
     if n_new <= 0 or n_base == 0:
         return None
     j = F.col("id")
@@ -65,15 +66,15 @@ def smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label: str = "Cla
     if n_new == 0 or n_min <= k:
         return None
     # narrow minority table, reused by every kNN / sampling pass: materialize once
-    vecs = _vec(df.where(F.col(label) == minority), features, key).checkpoint(eager=True)
+    vecs = stage(_vec(df.where(F.col(label) == minority), features, key), "minority")
     nn = knn(vecs, vecs, k)
     bases = row_numbers(vecs.select("id"), ["id"], out="rn")
-    return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label)
+    return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label, n_base=n_min)
 
 
 def danger_set(df: DataFrame, features: list[str], label: str, key: str, m: int, minority: int) -> DataFrame:
     """Minority rows whose m nearest rows (any class) hold m/2 <= majority < m."""
-    all_vecs = _vec(df, features, key).join(df.select(F.col(key).alias("id"), F.col(label).alias("_y")), "id").checkpoint(eager=True)
+    all_vecs = stage(_vec(df, features, key, [f"`{label}` AS _y"]), "vectors")
     mino = all_vecs.where(F.col("_y") == minority)
     nn = knn(mino.select("id"), all_vecs.select("id", "vec"), m)
     lab = all_vecs.select(F.col("id").alias("pid"), F.col("_y").alias("_py"))
@@ -91,8 +92,8 @@ def borderline_smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label:
     n_new = n_synthetic(n_min, n_maj, ratio)
     if n_new == 0 or n_min <= k:
         return None
-    danger = danger_set(df, features, label, key, m, minority).select("id").checkpoint(eager=True)
-    vecs = _vec(df.where(F.col(label) == minority), features, key).checkpoint(eager=True)
+    danger = stage(danger_set(df, features, label, key, m, minority).select("id"), "danger")
+    vecs = stage(_vec(df.where(F.col(label) == minority), features, key), "minority")
     nn = knn(danger, vecs, k)
     bases = row_numbers(danger, ["id"], out="rn")
     return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label)
@@ -162,10 +163,10 @@ def svm_smote(df: DataFrame, features: list[str] = SMOTE_FEATURES, label: str =
     model = pipe.fit(df)
     margin = vector_to_array(F.col("rawPrediction"))[1]
     scored = model.transform(df.where(F.col(label) == minority)).select(F.col(key).alias("id"), margin.alias("_m"))
-    support = scored.where(F.abs(F.col("_m")) <= 1.0).select("id").checkpoint(eager=True)
+    support = stage(scored.where(F.abs(F.col("_m")) <= 1.0).select("id"), "support")
     if support.limit(1).count() == 0:
         support = scored.select("id")
-    vecs = _vec(df.where(F.col(label) == minority), features, key).checkpoint(eager=True)
+    vecs = stage(_vec(df.where(F.col(label) == minority), features, key), "minority")
     nn = knn(support, vecs, k)
     bases = row_numbers(support, ["id"], out="rn")
     return _interpolate(spark, bases, vecs, nn, n_new, k, seed, features, label)

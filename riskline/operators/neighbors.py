@@ -1,33 +1,41 @@
-"""Exact k-nearest neighbours without an all-pairs join.
-
-For every query point q (a subset of the point set):
-
-1. Points are numbered along a 1-D projection p (one coordinate, the one with the
-   largest variance) with the bucketed row-number operator.  q is compared with
-   the 2W points around its own position (W = max(k, 8)); the k-th smallest of
-   those distances, r_q, bounds q's true k-th neighbour distance from above.
-2. Because |p(x) - p(y)| <= ||x - y||, every true neighbour lies in the band
-   |p(y) - p(q)| <= r_q.  Radii fall into levels (the median radius times powers of 4),
-   and each level has its own bucket width, so a query touches at most three buckets
-   whatever its radius.  The wide buckets of the upper levels are dealt over salts.
-   Candidates are filtered to dist <= r_q and ranked (distance, id) per query.
-
-The result equals brute force (ties broken by id).  Only the asked points enter the two
-steps as queries.  Fan-out per query is 2W for step 1 and the band population for step 2.
+"""Exact k-nearest neighbours by pivots, with a bounded top-k in every task.
+
+1. *Cells.*  A bounded number of points are pivots; every point belongs to the cell of its
+   nearest pivot, and to a ring of it by its distance from that pivot.  Rings are cut so that
+   one holds about ``CHUNK`` points; the points of a larger one are dealt over several chunks.
+2. *Bound.*  A query is compared with the points of its own ring.  The distance of the k-th
+   nearest of them, r, bounds that of its true k-th neighbour.
+3. *Pruning.*  |d(q, pivot) - d(x, pivot)| <= d(q, x), so only rings within r of the query's own
+   distance from their pivot can hold a neighbour; and a cell whose bisecting plane with the
+   query's own cell is farther than r has none.  The query goes to the chunks that are left.
+4. *Merge.*  In each chunk a task keeps the k nearest points of each query, so what is shuffled
+   and ranked for a query is at most k rows for each chunk it has visited.
+
+Pivots only steer the search: the result equals brute force (ties by id).  Chunks with many
+queries are cut into blocks of queries, so a task holds a block of queries and a chunk of points.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskline.operators.ordered import row_numbers
+from riskline.sources.staging import stage
 
-MIN_WINDOW = 8
-#: Radius of a level over that of the level below, and the most salts of a bucket.
-LEVEL_STEP, MAX_SALTS = 4, 1024
+#: Points of a chunk and queries of a block: what a task compares at a time.
+CHUNK, BLOCK = 8192, 8192
+#: Pivots, and rings of a cell; beyond that, rings are dealt over chunks.
+MAX_PIVOTS, MAX_RINGS = 256, 64
+#: Cells of the distance matrix that a task computes at a time.
+_MATRIX = 4_000_000
+
+_POINT = "key long, pid long, pvec array<double>"
+_QUERY = "key long, qid long, qvec array<double>"
 
 
 def dist_expr(a: str, b: str) -> str:
@@ -35,31 +43,198 @@ def dist_expr(a: str, b: str) -> str:
     return f"sqrt(aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), CAST(0 AS DOUBLE), (acc, v) -> acc + v))"
 
 
-def _projection_index(points: DataFrame, vec: str) -> int:
-    n = len(points.select(vec).first()[0])
-    row = points.selectExpr(*[f"var_pop({vec}[{i}]) AS v{i}" for i in range(n)]).first()
-    vals = [row[f"v{i}"] or 0.0 for i in range(n)]
-    return max(range(n), key=lambda i: vals[i])
+def _matrix(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _distances(q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """All distances, summed over the coordinates from the first to the last as ``dist_expr`` does."""
+    out = np.zeros((len(q), len(p)))
+    for j in range(p.shape[1]):
+        diff = q[:, j, None] - p[None, :, j]
+        out += diff * diff
+    return np.sqrt(out)
+
+
+class _Cells:
+    """Pivots, and for each the outer limits of its rings and their numbers of chunks."""
+
+    def __init__(self, pivots: np.ndarray, rings: list[list[float]], chunks: list[list[int]]):
+        self.pivots, self.rings, self.chunks = pivots, [np.array(r) for r in rings], chunks
+        starts = np.cumsum([0] + [c for cell in chunks for c in cell])
+        first = np.cumsum([0] + [len(c) for c in chunks])
+        #: number of the first chunk of each ring
+        self.keys = [starts[a:b] for a, b in zip(first, first[1:])]
+        self.apart = _distances(pivots, pivots)
+
+    def place(self, vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, distance from all pivots) of each row."""
+        d = _distances(vecs, self.pivots)
+        return d.argmin(axis=1), d
+
+    def ring(self, cell: int, d: float) -> int:
+        return int(np.searchsorted(self.rings[cell], d, side="left"))
+
+
+def _cells(points: DataFrame, n: int, chunk: int) -> _Cells:
+    """Pivots are those points whose ids have the smallest hashes: MAX_PIVOTS rows at most, and
+    MAX_RINGS numbers for each, reach the driver."""
+    if n <= chunk:  # one cell, whatever its pivot
+        return _Cells(np.zeros((1, 0)), [[]], [[1]])
+    wanted = min(MAX_PIVOTS, math.ceil(math.sqrt(n / chunk)))
+    rows = points.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
+    pivots = np.array([r["vec"] for r in rows])
+    cells = _Cells(pivots, [[] for _ in rows], [[1] for _ in rows])
+    probs = [k / MAX_RINGS for k in range(1, MAX_RINGS)]
+    found = {r["cell"]: r for r in points.mapInArrow(_placed(cells), "cell int, d double").groupBy("cell").agg(F.count("*").alias("n"), F.percentile_approx("d", probs, 2000).alias("q")).collect()}
+    rings, chunks = [], []
+    for c in range(len(rows)):
+        size = found[c]["n"] if c in found else 0
+        want = max(1, min(MAX_RINGS, math.ceil(size / chunk)))
+        cuts = sorted({found[c]["q"][round(k * MAX_RINGS / want) - 1] for k in range(1, want)}) if want > 1 else []
+        rings.append(cuts)
+        chunks.append([max(1, math.ceil(size / ((len(cuts) + 1) * chunk)))] * (len(cuts) + 1))
+    return _Cells(pivots, rings, chunks)
+
+
+def _blocks(n: int, width: int) -> Iterator[slice]:
+    step = max(1, _MATRIX // max(width, 1))
+    return (slice(k, k + step) for k in range(0, n, step))
+
+
+def _placed(cells: _Cells):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vecs = _matrix(batch.column(1))
+            for s in _blocks(len(vecs), len(cells.pivots)):
+                cell, d = cells.place(vecs[s])
+                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(d[np.arange(len(cell)), cell])], names=["cell", "d"])
+
+    return run
+
+
+def _dealt_points(cells: _Cells):
+    """Each point with the key of its chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, vecs = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
+            keys = []
+            for s in _blocks(len(vecs), len(cells.pivots)):
+                cell, d = cells.place(vecs[s])
+                for i, c, x in zip(ids[s].tolist(), cell.tolist(), d[np.arange(len(cell)), cell].tolist()):
+                    r = cells.ring(c, x)
+                    keys.append(int(cells.keys[c][r]) + (i * 0x9E3779B1 >> 7) % cells.chunks[c][r])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column(0), batch.column(1)], names=["key", "pid", "pvec"])
+
+    return run
+
+
+def _dealt_queries(cells: _Cells, near: bool):
+    """Each query with the keys of the chunks it visits: those of its own ring (``near``), or all
+    others within its radius."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vecs = _matrix(batch.column(1))
+            keys, rows = [], []
+            for s in _blocks(len(vecs), len(cells.pivots)):
+                cell, d = cells.place(vecs[s])
+                radius = None if near else batch.column(2).to_numpy(zero_copy_only=False)[s]
+                for i, own in enumerate(cell.tolist()):
+                    at = cells.ring(own, d[i, own])
+                    if near:
+                        hit = [(own, at)]
+                    else:
+                        # a little more than the radius, for what rounding may have cost
+                        r = radius[i] * (1 + 1e-9) + 1e-9 * d[i, own]
+                        hit = []
+                        for c in range(len(cells.pivots)):
+                            if c != own and math.isfinite(r) and d[i, c] ** 2 - d[i, own] ** 2 > 2 * r * cells.apart[own, c] * (1 + 1e-9):
+                                continue
+                            lo, hi = (cells.ring(c, d[i, c] - r), cells.ring(c, d[i, c] + r)) if math.isfinite(r) else (0, len(cells.rings[c]))
+                            hit += [(c, k) for k in range(lo, hi + 1) if (c, k) != (own, at)]
+                    own_keys = [int(cells.keys[c][k]) + j for c, k in hit for j in range(cells.chunks[c][k])]
+                    keys += own_keys
+                    rows += [s.start + i] * len(own_keys)
+            take = pa.array(rows, pa.int64())
+            cols = [pa.array(keys, pa.int64()), batch.column(0).take(take), batch.column(1).take(take)]
+            names = ["key", "qid", "qvec"]
+            if not near:
+                cols.append(batch.column(2).take(take))
+                names.append("r")
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return run
+
+
+def _nearest(k: int, bounded: bool):
+    """The k nearest points of a chunk for each query of a block, itself left out."""
+
+    def run(queries: pa.Table, points: pa.Table) -> pa.Table:
+        out: tuple[list, list, list] = ([], [], [])
+        if queries.num_rows and points.num_rows:
+            qid, pid = queries.column("qid").to_numpy(), points.column("pid").to_numpy()
+            order = np.argsort(pid, kind="stable")
+            pid, pvec, qvec = pid[order], _matrix(points.column("pvec"))[order], _matrix(queries.column("qvec"))
+            reach = queries.column("r").to_numpy() if bounded else None
+            for s in _blocks(len(qid), len(pid)):
+                d = _distances(qvec[s], pvec)
+                d[qid[s, None] == pid[None, :]] = np.inf
+                if bounded:
+                    d[d > reach[s, None]] = np.inf
+                if len(pid) > k:
+                    # all within the k-th distance, so that ties are settled by id
+                    kth = np.partition(d, k - 1, axis=1)[:, k - 1]
+                    rows, cols = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+                else:
+                    rows, cols = np.nonzero(np.isfinite(d))
+                far = d[rows, cols]
+                by = np.lexsort((cols, far, rows))
+                rows, cols, far = rows[by], cols[by], far[by]
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                keep = place < k
+                out[0].append(qid[s][rows[keep]])
+                out[1].append(pid[cols[keep]])
+                out[2].append(far[keep])
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, kinds)], names=["qid", "pid", "dist"])
+
+    return run
+
+
+def _visit(queries: DataFrame, points: DataFrame, k: int, block: int, bounded: bool) -> DataFrame:
+    """(qid, pid, dist): the k nearest points of each visited chunk."""
+    visited = queries.groupBy("key").agg(F.ceil(F.count("*") / F.lit(float(block))).cast("int").alias("blocks"))
+    q = queries.join(visited, "key").withColumn("block", F.pmod(F.xxhash64("qid"), "blocks").cast("int")).drop("blocks")
+    # chunks that no query visits are not shuffled
+    p = points.join(visited, "key").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    return q.groupBy("key", "block").cogroup(p.groupBy("key", "block")).applyInArrow(_nearest(k, bounded), "qid long, pid long, dist double")
 
 
-def knn(queries: DataFrame, points: DataFrame, k: int, key: str = "id", vec: str = "vec", exclude_self: bool = True) -> DataFrame:
+def knn(queries: DataFrame, points: DataFrame, k: int, key: str = "id", vec: str = "vec", exclude_self: bool = True, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
     """(qid, rank, pid, dist) for the k nearest points of every query id (ties by id).
 
-    ``queries`` holds the ids to answer, each also in ``points``; an id with fewer than k
-    other points gets all of them.  Exact duplicate vectors are collapsed first, so a vector
-    shared by many rows (a hot group) never produces all pairs: the band join runs over
-    distinct vectors, and each duplicate group contributes only its k+1 smallest ids, which
-    the ranked window cuts before its shuffle."""
-    pts = points.select(F.col(key).alias("id"), F.col(vec).alias("vec"))
-    reps = pts.groupBy("vec").agg(F.min("id").alias("rep"))
-    q = queries.select(F.col(key).alias("qid")).join(pts.withColumnRenamed("id", "qid"), "qid").join(reps, "vec").select(
-        "qid", F.col("rep").alias("qrep"))
-    # distinct-vector neighbours, keeping every tie at the k-th distance
-    dn = _knn_distinct(q.select(F.col("qrep").alias("id")).distinct(), reps.select(F.col("rep").alias("id"), "vec"), k)
-    members = pts.withColumn("mrank", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("mrank") <= k + 1)
-    members = members.join(reps, "vec").select("rep", F.col("id").alias("pid"), "mrank")
-    same = members.select(F.col("rep").alias("qrep"), "pid", F.lit(0.0).alias("dist"))
-    other = dn.join(members.where(F.col("mrank") <= k).withColumnRenamed("rep", "prep"), "prep").select("qrep", "pid", "dist")
+    ``queries`` holds the ids to answer, each also in ``points``; an id with fewer than k other
+    points gets all of them.  Points with a missing coordinate are no neighbours and have none.
+    Exact duplicate vectors are collapsed first, so a vector shared by many rows (a hot group)
+    never produces all pairs: the search runs over distinct vectors, and each duplicate group
+    contributes only its k+1 smallest ids, which the ranked window cuts before its shuffle."""
+    whole = F.forall(F.col(vec), lambda x: x.isNotNull() & ~F.isnan(x))
+    pts = points.where(whole).select(F.col(key).cast("long").alias("id"), F.col(vec).alias("vec"))
+    ranked = pts.withColumn("mrank", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("mrank") <= k + 1)
+    # the k+1 smallest ids of each distinct vector, the smallest standing for it
+    members = stage(ranked.withColumn("rep", F.min("id").over(Window.partitionBy("vec"))), "neighbours")
+    reps = members.where("mrank = 1").select("id", "vec")
+    asked = queries.select(F.col(key).cast("long").alias("qid"))
+    q = asked.join(members.select(F.col("id").alias("qid"), F.col("rep").alias("qrep")), "qid", "left")
+    # ids beyond the k+1 smallest of their vector are found by the vector
+    rest = q.where("qrep is null").select("qid").join(pts.withColumnRenamed("id", "qid"), "qid").join(reps.withColumnRenamed("id", "qrep"), "vec").select("qid", "qrep")
+    q = stage(q.where("qrep is not null").unionByName(rest), "queries")
+    dn = _knn_distinct(q.select(F.col("qrep").alias("id")).distinct(), reps, k, chunk, block)
+    same = members.select(F.col("rep").alias("qrep"), F.col("id").alias("pid"), F.lit(0.0).alias("dist"))
+    other = dn.join(members.where(F.col("mrank") <= k).select(F.col("rep").alias("prep"), F.col("id").alias("pid")), "prep").select("qrep", "pid", "dist")
     j = q.join(same.unionByName(other), "qrep")
     if exclude_self:
         j = j.where(F.col("pid") != F.col("qid"))
@@ -67,49 +242,20 @@ def knn(queries: DataFrame, points: DataFrame, k: int, key: str = "id", vec: str
     return top.select("qid", "rank", "pid", "dist")
 
 
-def _knn_distinct(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """(qrep, prep, dist): for every query id, all other points within its k-th nearest
-    distance (so ties at the boundary are kept).  Points have distinct vectors."""
-    pidx = _projection_index(points, "vec")
-    pts = points.select(F.col("id").alias("pid"), F.col("vec").alias("pvec"), F.col("vec")[pidx].alias("pproj"))
-    ranked = row_numbers(pts, ["pproj", "pid"], out="prn")
-    ranked = ranked.checkpoint(eager=True)  # reused by both steps; fixed numbering across passes
-    w = max(k, MIN_WINDOW)
-    q = queries.select(F.col("id").alias("qid")).join(
-        ranked.select(F.col("pid").alias("qid"), F.col("pvec").alias("qvec"), F.col("pproj").alias("qproj"), F.col("prn").alias("qrn")), "qid")
-
-    # step 1: upper bound on the k-th neighbour distance from the projection window
-    offs = [d for d in range(-w, w + 1) if d != 0]
-    win = q.select("qid", "qvec", "qrn", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")).withColumn("_crn", F.col("qrn") + F.col("_d"))
-    cand = win.join(ranked.select(F.col("prn").alias("_crn"), "pid", "pvec"), "_crn")
-    cand = cand.select("qid", F.expr(dist_expr("qvec", "pvec")).alias("dist"), "pid")
-    kth = cand.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))).where(F.col("_r") == k)
-    radius = q.join(kth.select("qid", F.col("dist").alias("r")), "qid", "left").checkpoint(eager=True)
-
-    stats = ranked.agg(F.min("pproj").alias("lo"), F.max("pproj").alias("hi")).first()
-    lo, span = float(stats["lo"] or 0.0), float(stats["hi"] or 0.0) - float(stats["lo"] or 0.0)
-    # no bound only if there are at most k points: the band is then the whole range, at any distance
-    radius = radius.withColumn("_far", F.coalesce(F.col("r"), F.lit(math.inf))).withColumn("r", F.coalesce(F.col("r"), F.lit(span + 1.0)))
-    med = radius.agg(F.percentile_approx("r", 0.5, 10000).alias("m")).first()["m"]
-    width = float(med) if med and math.isfinite(med) else max(span, 1.0)
-    level = F.greatest(F.ceil(F.log(F.greatest(F.col("r"), F.lit(width)) / F.lit(width)) / F.lit(math.log(LEVEL_STEP))), F.lit(0)).cast("int")
-    radius = radius.withColumn("_l", level)
-    levels = [r["_l"] for r in radius.select("_l").distinct().collect()]  # a logarithm of the radii's range
-    step = F.lit(width) * F.pow(F.lit(float(LEVEL_STEP)), F.col("_l"))
-    salts = F.least(F.pow(F.lit(float(LEVEL_STEP)), F.col("_l")), F.lit(float(MAX_SALTS))).cast("int")
-
-    def bucket(at):
-        return F.floor((at - F.lit(lo)) / step).cast("bigint")
-
-    qb = radius.select("qid", "qvec", "qproj", "r", "_far", "_l", F.explode(F.sequence(bucket(F.col("qproj") - F.col("r")), bucket(F.col("qproj") + F.col("r")))).alias("_b"))
-    qb = qb.withColumn("_s", F.explode(F.sequence(F.lit(0), salts - 1)))
-    pb = ranked.select("pid", "pvec", "pproj", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")).alias("_l"))
-    pb = pb.select("*", bucket(F.col("pproj")).alias("_b"), F.pmod(F.xxhash64("pid"), salts).cast("int").alias("_s"))
-
-    # step 2: band join on the projection bucket, exact distances, top-k per query
-    band = qb.join(pb, ["_l", "_b", "_s"]).where((F.abs(F.col("pproj") - F.col("qproj")) <= F.col("r")) & (F.col("pid") != F.col("qid")))
-    band = band.select("qid", "pid", "_far", F.expr(dist_expr("qvec", "pvec")).alias("dist")).where(F.col("dist") <= F.col("_far"))
-    kth_d = F.max(F.when(F.col("_r") == k, F.col("dist"))).over(Window.partitionBy("qid"))
-    ranked_band = band.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid")))
-    keep = ranked_band.withColumn("_kd", kth_d).where(F.col("_kd").isNull() | (F.col("dist") <= F.col("_kd")))
-    return keep.select(F.col("qid").alias("qrep"), F.col("pid").alias("prep"), "dist")
+def _knn_distinct(queries: DataFrame, points: DataFrame, k: int, chunk: int, block: int) -> DataFrame:
+    """(qrep, prep, dist): the k nearest other points of every query id; vectors are distinct."""
+    n = points.count()
+    if n < 2:
+        return queries.sparkSession.createDataFrame([], "qrep long, prep long, dist double")
+    cells = _cells(points, n, chunk)
+    asked = queries.join(points, "id")
+    dealt = points.mapInArrow(_dealt_points(cells), _POINT)
+    found = _visit(asked.mapInArrow(_dealt_queries(cells, True), _QUERY), dealt, k, block, False)
+    if sum(map(sum, cells.chunks)) > 1:
+        found = stage(found, "near")
+        kth = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))
+        radius = found.withColumn("_r", kth).where(F.col("_r") == k).select(F.col("qid").alias("id"), F.col("dist").alias("r"))
+        asked = asked.join(radius, "id", "left").select("id", "vec", F.coalesce("r", F.lit(math.inf)).alias("r"))
+        found = found.unionByName(_visit(asked.mapInArrow(_dealt_queries(cells, False), f"{_QUERY}, r double"), dealt, k, block, True))
+    best = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "pid"))
+    return found.withColumn("_r", best).where(F.col("_r") <= k).select(F.col("qid").alias("qrep"), F.col("pid").alias("prep"), "dist")
