@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from riskline.functions.stats import kolmogorov_sf
 from riskline.operators.explore import to_long
-from riskline.operators.metrics import classification_metrics
+from riskline.operators.metrics import confusion, rates
 from riskline.operators.ordered import row_numbers, running_totals
 from riskline.operators.selection import select_ranks
 
@@ -99,18 +99,28 @@ def assign_periods(df: DataFrame, key: str = "event_id", period_rows: int = PERI
 
 def ks_per_period(periods: DataFrame, features: list[str]) -> DataFrame:
     """KS statistic and p-value of every period (>= 1) against period 0."""
+    counts = value_counts(periods, features)
+    base = counts.where(F.col("period") == 0).select("feature", "value", F.col("c").alias("b"))
+    return ks_of_counts(base, counts.where(F.col("period") > 0))
+
+
+def value_counts(periods: DataFrame, features: list[str]) -> DataFrame:
+    """(period, feature, value, c): what the KS of a period needs of its rows."""
     long = to_long(periods, features, ["period"]).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    base = long.where(F.col("period") == 0)
-    cur = long.where(F.col("period") > 0)
+    return long.groupBy("period", "feature", "value").agg(F.count(F.lit(1)).alias("c"))
+
+
+def ks_of_counts(base: DataFrame, counts: DataFrame) -> DataFrame:
+    """KS of every period in ``counts`` (period, feature, value, c) against ``base`` (feature, value, b)."""
     # baseline CDF at every pooled distinct value (bucketed running totals)
-    pooled = base.select("feature", "value", F.lit(1).alias("_b")).unionByName(cur.select("feature", "value", F.lit(0).alias("_b")))
-    look = running_totals(pooled, "value", {"b": F.col("_b").cast("long")}, group=["feature"]).select(
+    none = F.lit(0).cast("long")
+    pooled = base.select("feature", "value", "b").unionByName(counts.select("feature", "value", none.alias("b")).distinct())
+    look = running_totals(pooled, "value", {"b": F.col("b")}, group=["feature"]).select(
         "feature", "value", (F.col("cum_b") / F.col("tot_b")).alias("fb"),
         ((F.col("cum_b") - F.col("b")) / F.col("tot_b")).alias("fb_before"), F.col("tot_b").alias("n_base"))
-    # period CDF: one window partition per (period, feature), at most period_rows rows
-    pc = cur.groupBy("period", "feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    # period CDF: one window partition per (period, feature), at most a period's rows
     w = Window.partitionBy("period", "feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    pc = pc.select("*", F.sum("c").over(w).alias("cum_c"), F.sum("c").over(Window.partitionBy("period", "feature")).alias("n_current"))
+    pc = counts.select("*", F.sum("c").over(w).alias("cum_c"), F.sum("c").over(Window.partitionBy("period", "feature")).alias("n_current"))
     j = pc.join(look, on=["feature", "value"])
     fp = F.col("cum_c") / F.col("n_current")
     fp_before = (F.col("cum_c") - F.col("c")) / F.col("n_current")
@@ -121,8 +131,12 @@ def ks_per_period(periods: DataFrame, features: list[str]) -> DataFrame:
 
 def monitoring_table(periods: DataFrame, features: list[str] = DRIFT_FEATURES, y_true="y_true", y_pred="y_pred") -> DataFrame:
     """Per period detection rate, FP rate, precision, F1 and drift score."""
-    m = classification_metrics(periods.where(F.col("period") > 0), y_true, y_pred, ["period"])
-    d = drift_score(ks_per_period(periods, features), ["period"])
+    return monitoring_of(confusion(periods.where(F.col("period") > 0), y_true, y_pred, ["period"]), ks_per_period(periods, features))
+
+
+def monitoring_of(confusions: DataFrame, ks: DataFrame) -> DataFrame:
+    """D4 from the periods' confusion counts and KS rows."""
+    m, d = rates(confusions), drift_score(ks, ["period"])
     return m.join(d, on="period", how="left").select(
         "period", F.col("recall").alias("detection_rate"), F.col("fp_rate").alias("false_positive_rate"),
         "precision", F.col("f1").alias("f1_score"), F.coalesce("data_drift_score", F.lit(0.0)).alias("data_drift_score"))

@@ -217,7 +217,7 @@ def d3_drift_score(spark, sf):
     return d.select(F.round("data_drift_score", 6).alias("data_drift_score"))
 
 
-_PERIOD_KS_SQL = """base AS (SELECT feature, value, count(*) AS b FROM long WHERE period = 0 GROUP BY 1, 2),
+PERIOD_KS_SQL = """base AS (SELECT feature, value, count(*) AS b FROM long WHERE period = 0 GROUP BY 1, 2),
 bc AS (SELECT feature, value, sum(b) OVER (PARTITION BY feature ORDER BY value) AS cum_b, sum(b) OVER (PARTITION BY feature) AS n_base FROM base),
 nb AS (SELECT feature, max(n_base) AS n_base FROM bc GROUP BY feature),
 pc AS (SELECT period, feature, value, count(*) AS c FROM long WHERE period > 0 GROUP BY 1, 2, 3),
@@ -233,7 +233,7 @@ mon AS (SELECT pm.period, coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0)
   coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS precision, coalesce(2.0 * tp / nullif(2.0 * tp + fp + fn, 0), 0.0) AS f1_score,
   coalesce(d.data_drift_score, 0.0) AS data_drift_score FROM pm LEFT JOIN dscore d ON pm.period = d.period)"""
 
-_MON_CTES = with_ctes(TX, FEAT, MON, _BASE_SQL, _PERIOD_KS_SQL)
+_MON_CTES = with_ctes(TX, FEAT, MON, _BASE_SQL, PERIOD_KS_SQL)
 
 
 def _monitoring(spark, sf):
@@ -260,7 +260,7 @@ def d4_monitoring_periods(spark, sf):
     return m.select("period", *[F.round(c, 6).alias(c) for c in m.columns if c != "period"])
 
 
-_ALERTS_SQL = """al AS (
+ALERTS_SQL = """al AS (
   SELECT period, 1 AS k, CASE WHEN detection_rate < 0.7 THEN 'CRITIQUE' WHEN detection_rate < 0.8 THEN 'ATTENTION' END AS type, 'detection_rate' AS metric, detection_rate AS value,
     CASE WHEN detection_rate < 0.7 THEN 'Taux de détection critique: ' ELSE 'Taux de détection faible: ' END || printf('%.1f', detection_rate * 100.0) || '%' AS message, CAST(NULL AS VARCHAR) AS action FROM mon
   UNION ALL SELECT period, 2, CASE WHEN false_positive_rate > 0.02 THEN 'CRITIQUE' WHEN false_positive_rate > 0.01 THEN 'ATTENTION' END, 'false_positive_rate', false_positive_rate,
@@ -272,7 +272,7 @@ _ALERTS_SQL = """al AS (
 
 @query(
     "d5_alerts",
-    _MON_CTES + ", " + _ALERTS_SQL + " SELECT period, type, metric, round(value, 6) AS value, message, action FROM al WHERE type IS NOT NULL",
+    _MON_CTES + ", " + ALERTS_SQL + " SELECT period, type, metric, round(value, 6) AS value, message, action FROM al WHERE type IS NOT NULL",
 )
 def d5_alerts(spark, sf):
     """Alerts per period (critical/attention on detection, FP rate, drift)."""
@@ -332,7 +332,7 @@ def j4_truth_prediction_join(spark, sf):
 
 @query(
     "t6_last_alerts",
-    _MON_CTES + ", " + _ALERTS_SQL
+    _MON_CTES + ", " + ALERTS_SQL
     + " SELECT period, type, metric, round(value, 6) AS value FROM al WHERE type IS NOT NULL ORDER BY period DESC, k DESC LIMIT 5",
 )
 def t6_last_alerts(spark, sf):

@@ -7,11 +7,14 @@ way: only ``readStream`` changes).  Event time must be ``timestamp``: the fixtur
 Windowed aggregates run in ``update`` mode with a watermark (bounded state) and a
 ``foreachBatch`` sink that appends each micro-batch's updated rows with its batch
 id; the current state of a key is its row from the latest batch.  This is the
-upsert pattern for sinks without MERGE, and the final state equals the batch
-result even for windows the watermark has not closed yet.
-
-Every run writes under ``spark.checkpoint.dir`` (the cluster's shared folder):
-output, stream checkpoint and the upsert log, so a restarted query resumes.
+upsert pattern for sinks without MERGE.  With one batch, or files in time order, the final state
+equals the batch result, windows that the watermark has not closed yet included; rows that come
+later than the watermark allows are dropped, and ``run_counted`` counts them.
+
+Every run writes under ``spark.checkpoint.dir`` (the cluster's shared folder): output, stream
+checkpoint and the upsert log.  A run has a folder of its own unless one is named
+(``run_counted``, ``monitor.run_monitor``): only a run in a named folder goes on where the one
+before stopped.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskline.session import ensure_checkpoint_dir
@@ -85,6 +88,55 @@ def run_upsert(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
     return latest.select(*keys, "_v.*")
 
 
+LATE = "batch_id long, input_rows long, kept_rows long, late_rows long, watermark string"
+
+
+def run_counted(source: DataFrame, windows, name: str, keys: list[str], count: str, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`run_upsert` of ``windows(source)``, and beside the result a table of the
+    rows that came too late: (result, late).
+
+    ``count`` names the aggregate that counts a window's rows.  Rows are counted as they enter
+    (``observe``), so per batch late rows are those that no window has gained.  Spark's own figure
+    of dropped rows is no count of rows where they are summed before the watermark is applied; it
+    must be zero or not together with ours.  The table is written as ``late`` in the run's folder.
+    """
+    spark = source.sparkSession
+    d = folder or run_dir(spark, name)
+    log = os.path.join(d, "log")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000000")
+    try:
+        stream = windows(source.observe("entered", F.count(F.lit(1)).alias("rows")))
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(os.path.join(log, f"_batch={batch_id}"))
+
+        q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(d, "checkpoint"))
+             .outputMode("update").trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    hist = spark.read.schema(stream.schema.add("_batch", "long")).parquet(log)
+    values = [c for c in stream.columns if c not in keys]
+    result = hist.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("_batch")).alias("_v")).select(*keys, "_v.*")
+    before = F.lag(count, 1, 0).over(Window.partitionBy(*keys).orderBy("_batch"))  # a window's rows: one per batch
+    gained = hist.withColumn("_gain", F.col(count) - before).groupBy(F.col("_batch").alias("batch_id")).agg(F.sum("_gain").alias("kept_rows"))
+    seen = {}  # one row per batch
+    for p in q.recentProgress:
+        if "entered" in p.observedMetrics:
+            rows, state = p.observedMetrics["entered"].rows, p.stateOperators[0]
+            old = seen.get(p.batchId, (p.batchId, 0, 0, None))
+            seen[p.batchId] = (p.batchId, old[1] + rows, old[2] + state.numRowsDroppedByWatermark, p.eventTime.get("watermark", old[3]))
+    entered = spark.createDataFrame(list(seen.values()), "batch_id long, input_rows long, dropped long, watermark string")
+    late = entered.join(gained, "batch_id", "left").select(
+        "batch_id", "input_rows", F.coalesce("kept_rows", F.lit(0)).cast("long").alias("kept_rows"), "dropped", "watermark")
+    late = late.withColumn("late_rows", F.col("input_rows") - F.col("kept_rows"))
+    late = late.withColumn("late_rows", F.when((F.col("late_rows") > 0) != (F.col("dropped") > 0), F.raise_error(F.lit("late rows and dropped rows disagree"))).otherwise(F.col("late_rows")))
+    path = os.path.join(d, "late")
+    late.select(*[c.split()[0] for c in LATE.split(", ")]).write.mode("overwrite").parquet(path)
+    return result, spark.read.schema(LATE).parquet(path)
+
+
 def ingestion_windows(events: DataFrame, width: str = "10 minutes", watermark: str = WATERMARK) -> DataFrame:
     """Tumbling volume / mean response / error rate per window."""
     w = F.window("ts", width)
@@ -102,11 +154,11 @@ def incidents_by_ip_hour(events: DataFrame, watermark: str = WATERMARK) -> DataF
             .select(F.col("w.start").alias("hour_start"), "source_ip", "incidents"))
 
 
-def scored_events(events: DataFrame) -> DataFrame:
+def scored_events(events: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Per-event label and deterministic score (the ``scored`` view, without features)."""
     y = ((F.col("event_type") == "error") & (F.col("value") > 150)).cast("int")
     score = F.pmod(F.col("event_id") * F.lit(48271), F.lit(1000)) / F.lit(1000.0) * F.lit(0.5) + y * F.lit(0.5)
-    return events.select("event_id", "ts", y.alias("y_true"), score.alias("score"), (score >= F.lit(0.7)).cast("int").alias("y_pred"))
+    return events.select("event_id", "ts", y.alias("y_true"), score.alias("score"), (score >= F.lit(0.7)).cast("int").alias("y_pred"), *keep)
 
 
 def metric_counts(scored: DataFrame, watermark: str = WATERMARK, width: str = "1 day") -> DataFrame:
