@@ -99,7 +99,7 @@ def _unsqueeze(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-_SCANNED = "kind int, doc_id long, n long, class binary, block long, text binary, shard int, keys binary"
+_SCANNED = "kind int, doc_id long, n long, class binary, block long, text binary, shard int, keys binary, place int"
 
 
 def _scan(bits: int, shards: int, words: int):
@@ -107,11 +107,11 @@ def _scan(bits: int, shards: int, words: int):
 
     A key is the top ``bits`` of a shingle's hash; keys only order shingles, so that two
     shingles of one key merely count as one."""
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.binary()), ("block", pa.int64()), ("text", pa.binary()), ("shard", pa.int32()), ("keys", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.binary()), ("block", pa.int64()), ("text", pa.binary()), ("shard", pa.int32()), ("keys", pa.binary()), ("place", pa.int32())])
     cuts = (np.arange(1, shards, dtype=object) * (1 << bits) // shards).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block, held, keys = TaskContext.get().partitionId(), 0, 0, []
+        part, block, held, keys, place = TaskContext.get().partitionId(), 0, 0, [], 0
         squeeze = zstandard.ZstdCompressor(level=3)
 
         def close() -> pa.RecordBatch:
@@ -125,14 +125,15 @@ def _scan(bits: int, shards: int, words: int):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = text.as_py()
                 h = shingles(s, words)
-                rows.append({"kind": 0, "doc_id": doc_id, "n": len(h), "class": xxh3_128_digest(h.tobytes()) if len(h) else None, "block": (part << 24) + block, "text": squeeze.compress(s.encode("utf-8", "surrogatepass")) if len(h) else None})
+                rows.append({"kind": 0, "doc_id": doc_id, "n": len(h), "class": xxh3_128_digest(h.tobytes()) if len(h) else None, "block": (part << 24) + block, "text": squeeze.compress(s.encode("utf-8", "surrogatepass")) if len(h) else None, "place": place})
+                place += 1
                 if len(h):
                     keys.append(_distinct(h >> _U(64 - bits)))
                     held += len(h)
                 if held >= BLOCK_SHINGLES:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
                     yield close()
-                    rows, keys, held, block = [], [], 0, block + 1
+                    rows, keys, held, block, place = [], [], 0, block + 1, 0
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
         if keys:
@@ -255,13 +256,10 @@ def _class_components(scanned: DataFrame, bits: int, shards: int, percent: int,
     )
     tidy(scanned.sparkSession)
     # the text of one document of each class that has postings; copies are told apart by block
-    # and id, so that only one of them is shipped
-    some = docs.select("class", "block", "doc_id").join(postings.select("class").distinct(), "class", "left_semi")
-    some = some.groupBy("class").agg(F.min(F.struct("block", "doc_id")).alias("m")).select("class", "m.block", "m.doc_id")
-    texts = staged(
-        docs.join(some.withColumnRenamed("doc_id", "one"), ["class", "block"]).where("doc_id <=> one").select("class", "text").dropDuplicates(["class"]),
-        "texts",
-    )
+    # and place in it, so that only one of them is shipped, once
+    some = docs.select("class", "block", "place").join(postings.select("class").distinct(), "class", "left_semi")
+    some = some.groupBy("class").agg(F.min(F.struct("block", "place")).alias("m")).select("m.block", "m.place")
+    texts = staged(docs.select("class", "text", "block", "place").join(some, ["block", "place"]).select("class", "text"), "texts")
     tidy(scanned.sparkSession)
     test = F.expr(_filters(percent))
     past: list[DataFrame] = []
