@@ -69,6 +69,27 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(os.path.join(d, "out"))
 
 
+def run_observed(stream: DataFrame, name: str, metric: str) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`run_append`, and the sums over all batches of the counts observed as ``metric``."""
+    spark = stream.sparkSession
+    d = run_dir(spark, name)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000000")
+    try:
+        q = (stream.writeStream.format("parquet").option("path", os.path.join(d, "out"))
+             .option("checkpointLocation", os.path.join(d, "checkpoint")).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    sums: dict[str, int] = {}
+    for p in q.recentProgress:
+        if metric in p.observedMetrics:
+            for k, v in p.observedMetrics[metric].asDict().items():
+                sums[k] = sums.get(k, 0) + (v or 0)
+    return spark.read.schema(stream.schema).parquet(os.path.join(d, "out")), sums
+
+
 def run_upsert(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """Run an update-mode aggregate to completion; return the latest row per key."""
     spark = stream.sparkSession
