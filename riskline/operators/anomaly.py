@@ -1,14 +1,15 @@
 """Isolation forest on ingestion windows.
 
 * Standardise the features (exact mean / population std, one pass).
-* Sampling: every row draws one seeded uniform per tree and joins tree t when it
-  falls under 256/N; ``explode`` of that filtered tree list emits ~256 rows per tree
-  in one pass (N x T uniforms, ~T x 256 output rows).
+* Sampling: every row draws one seeded uniform per tree, and the sample of a tree are the 256
+  rows of the smallest draws.  A threshold on the draws, a little above 256/N, leaves few more
+  rows than that of each tree to be ranked; it is doubled in the rare case that it left fewer.
 * Tree building: ``groupBy(tree).applyInPandas`` - each group is one tree's
   bounded sample, grown with numpy (random feature, random split, height limit
   ceil(log2 256)).  Output: the node table (at most 511 rows per tree).
 * Scoring: the node tables (T x 511 rows at most, a proven bound) are broadcast to
-  an Arrow-batched ``pandas_udf`` that walks all trees vectorised over the batch.
+  an Arrow-batched iterator ``pandas_udf`` that lays out the trees once a task and walks them
+  vectorised over each batch.
   Score s = 2^(-E[h(x)] / c(256)); anomalies are the rows above the exact
   (1 - contamination) quantile of s, as in scikit-learn's offset rule.
 """
@@ -16,16 +17,18 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskline.functions.rng import lcg_uniform
-from riskline.operators.ordered import exact_quantile_values
 from riskline.operators.scale import fit_standard
+from riskline.operators.selection import column_quantiles
+from riskline.sources.staging import drop_stage, stage
 
 N_TREES = 100
 SAMPLE_SIZE = 256
@@ -68,15 +71,28 @@ def _grow(pdf: pd.DataFrame, n_features: int, seed: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "size", "leaf"])
 
 
+def tree_samples(df: DataFrame, key: str, n: int, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE, seed: int = 42) -> DataFrame:
+    """The rows of ``df`` (n of them) in each tree's sample, with column ``tree``: the min(n,
+    sample_size) rows of the smallest draws, ties by key."""
+    want = min(sample_size, n)
+    p = (sample_size + 8.0 * math.sqrt(sample_size) + 16.0) / max(n, 1)
+    while True:
+        draws = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(t.alias("tree"), lcg_uniform(F.col(key), t + F.lit(1000), seed).alias("u")))
+        few = F.filter(draws, lambda d: d["u"] < F.lit(min(p, 1.0))) if p < 1 else draws
+        drawn = stage(df.select("*", F.explode(few).alias("_d")).select("*", "_d.tree", "_d.u").drop("_d"), "draws")
+        if p >= 1 or drawn.groupBy("tree").count().where(F.col("count") >= want).count() == n_trees:
+            rank = F.row_number().over(Window.partitionBy("tree").orderBy("u", key))  # few more than sample_size rows
+            return drawn.withColumn("_r", rank).where(F.col("_r") <= want).drop("_r", "u")
+        drop_stage(drawn)
+        p *= 2
+
+
 def fit_forest(df: DataFrame, features: list[str], key: str, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE, seed: int = 42):
     scaler = fit_standard(df, features)
     z = scaler.transform(df).select(key, *[F.col(c).alias(f"f{i}") for i, c in enumerate(features)])
     n = df.count()
-    p = min(1.0, sample_size / max(n, 1))
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: lcg_uniform(F.col(key), t + F.lit(1000), seed) < F.lit(p))
-    sampled = z.select("*", F.explode(trees).alias("tree"))
     nf = len(features)
-    nodes = sampled.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, nf, seed), _NODE_SCHEMA)
+    nodes = tree_samples(z, key, n, n_trees, sample_size, seed).groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, nf, seed), _NODE_SCHEMA)
     table = nodes.orderBy("tree", "node").toPandas()  # bounded: n_trees x (2 * sample_size - 1) rows
     return scaler, table, min(sample_size, n)
 
@@ -123,20 +139,24 @@ def _score_fn(table: pd.DataFrame, nf: int, psi: int):
 def isolation_forest(df: DataFrame, features: list[str], key: str, contamination: float = CONTAMINATION, n_trees: int = N_TREES,
                      sample_size: int = SAMPLE_SIZE, seed: int = 42) -> DataFrame:
     """Adds ``anomaly_score`` and ``detected_anomaly``."""
+    df = stage(df, "forest")  # read for the scaler, the samples and the scores
     scaler, table, psi = fit_forest(df, features, key, n_trees, sample_size, seed)
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(table)
     nf = len(features)
 
     @F.pandas_udf(T.DoubleType())
-    def score_udf(*cols: pd.Series) -> pd.Series:
-        return _score_fn(bc.value, nf, psi)(*cols)
+    def score_udf(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        score = _score_fn(bc.value, nf, psi)
+        for cols in batches:
+            yield score(*cols)
 
     zcols = [F.col(c) for c in features]
     scored = scaler.transform(df.select("*", *[F.col(c).alias(f"_raw_{c}") for c in features]))
     scored = scored.withColumn("anomaly_score", score_udf(*zcols))
     for c in features:
         scored = scored.withColumn(c, F.col(f"_raw_{c}")).drop(f"_raw_{c}")
-    scored = scored.checkpoint(eager=True)
-    (thr,) = exact_quantile_values(scored, "anomaly_score", [1.0 - contamination])
-    return scored.withColumn("detected_anomaly", F.col("anomaly_score") > F.lit(thr))
+    scored = stage(scored, "scores")
+    found = column_quantiles(scored, ["anomaly_score"], [1.0 - contamination])
+    limit = F.lit(found["anomaly_score"][0]) if found else F.lit(None).cast("double")
+    return scored.withColumn("detected_anomaly", F.col("anomaly_score") > limit)

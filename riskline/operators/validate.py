@@ -107,6 +107,10 @@ def dataset_quality(
     )
 
 
+#: Values of a class label.
+MAX_CLASSES = 1000
+
+
 def class_balance(df: DataFrame, label: str = "Class") -> DataFrame:
     """A1: one row per class value with count and percentage of all rows.
 
@@ -151,6 +155,30 @@ def imbalance_summary(df: DataFrame, label: str = "Class") -> DataFrame:
     )
 
 
+def class_balance_metrics(df: DataFrame, label: str = "Class") -> dict:
+    """A1/A2 with the reference's errors: total, count and percentage per class, ratio, minority and
+    majority class; ties resolve to the smallest label.
+
+    Raises ValueError for an absent label column, an empty table, or fewer than two classes."""
+    if label not in df.columns:
+        raise ValueError(f"no column {label!r}")
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()}
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{label!r} has more than {MAX_CLASSES} values: not a class label")
+    total = sum(counts.values())
+    if not total:
+        raise ValueError("the table is empty")
+    counts.pop(None, None)
+    if len(counts) < 2:
+        raise ValueError("at least two classes are needed")
+    ordered = sorted(counts.items())
+    minority, majority = min(ordered, key=lambda c: c[1])[0], max(ordered, key=lambda c: c[1])[0]
+    return {
+        "total_samples": total, "class_counts": dict(ordered), "class_percentages": {k: n / total * 100 for k, n in ordered},
+        "imbalance_ratio": counts[majority] / counts[minority], "minority_class": minority, "majority_class": majority,
+    }
+
+
 def business_ranges(
     df: DataFrame,
     time_range: tuple[float, float] = TIME_RANGE,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskline.functions.rng import lcg_uniform_sql
@@ -10,6 +13,7 @@ from riskline.operators import report as rp
 from riskline.operators import validate as val
 from riskline.plans.registry import query
 from riskline.plans.sql import FEAT, INGESTION, LOGS, TX, with_ctes
+from riskline.session import ensure_checkpoint_dir
 from riskline.sources import fixtures as fx
 
 
@@ -140,10 +144,29 @@ def _report(spark, sf):
     return rp.pipeline_report([rp.step_rows("check_data", check), rp.step_rows("class_balance", bal), rp.step_rows("business_30d", biz)])
 
 
-@query("s5_pipeline_report")
+@query(
+    "s5_pipeline_report",
+    with_ctes(
+        TX,
+        """s AS (SELECT count(*) AS n, min("Time") AS tmin, max("Time") AS tmax, min(Amount) AS amin, max(Amount) AS amax, count(CASE WHEN Class = 1 THEN 1 END) AS n1,
+  count(CASE WHEN Class = 0 THEN 1 END) AS n0, bool_and(coalesce(Class IN (0, 1), false)) AS cv FROM transactions)""",
+        "k AS (SELECT *, greatest(n0, n1) AS nmax, least(CASE WHEN n0 > 0 THEN n0 ELSE n1 END, CASE WHEN n1 > 0 THEN n1 ELSE n0 END) AS nmin FROM s)",
+    )
+    + """SELECT 'run1' AS run, 'check_data' AS step, 'status' AS key, CASE WHEN n >= 1000 AND tmin >= 0 AND tmax <= 200000.0 AND amin >= 0 AND amax <= 30000.0 AND cv THEN 'success' ELSE 'failed' END AS value FROM k
+UNION ALL SELECT 'run1', 'check_data', 'rows_count', CAST(n AS VARCHAR) FROM k
+UNION ALL SELECT 'run1', 'check_data', 'fraud_percentage', printf('%.6f', n1 * 100.0::DOUBLE / n) FROM k
+UNION ALL SELECT 'run1', 'class_balance', 'imbalance_ratio', printf('%.6f', nmax::DOUBLE / nmin) FROM k
+UNION ALL SELECT 'run1', 'class_balance', 'minority_class', CASE WHEN n1 = 0 THEN '0' WHEN n0 = 0 THEN '1' WHEN n1 < n0 THEN '1' ELSE '0' END FROM k
+UNION ALL SELECT 'run1', 'business_30d', 'status', CASE WHEN tmin >= 0 AND tmax <= 2592000.0 AND amin >= 0 AND amax <= 30000.0 AND cv THEN 'success' ELSE 'failed' END FROM k""",
+)
 def s5_pipeline_report(spark, sf):
-    """Run report rows (step, key, value) from the check, balance and range steps."""
-    return _report(spark, sf)
+    """Run report rows (step, key, value) from the check, balance and range steps, written to the
+    sink as a run, twice, and read back."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "reports", uuid.uuid4().hex)
+    report = _report(spark, sf)
+    for _ in range(2):
+        rp.write_report(report, root, "run1")
+    return rp.read_reports(spark, root, ["run1", "never_written"]).drop("position")
 
 
 _MISS_ALL = " + ".join(f"CAST({c} IS NULL OR isnan({c}) AS BIGINT)" for c in ['"Time"', *[f"V{i}" for i in range(1, 29)], "Amount"]) + " + CAST(Class IS NULL AS BIGINT)"
