@@ -88,10 +88,10 @@ def _tokenise(tokenizer: str, capacity: int, end_id: int):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = _words(text.as_py())
                 try:
-                    ids = b"".join([cache[w] for w in words]) + end
+                    ids = b"".join(map(cache.__getitem__, words)) + end
                 except KeyError:
                     cache.fill(set(words))
-                    ids = b"".join([cache[w] for w in words]) + end
+                    ids = b"".join(map(cache.__getitem__, words)) + end
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]
