@@ -60,7 +60,8 @@ class _Ids(dict):
             self.clear()
             new = list(words)
         for w, e in zip(new, self.tok.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)):
-            self[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            ids = e.ids
+            self[w] = struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _words(text: str) -> list[bytes]:
