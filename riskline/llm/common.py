@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,19 +18,40 @@ WS_CHARS = " \t\n\x0b\x0c\r"
 _STAGED: dict[str, list[str]] = {}
 
 
-def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "zstd", by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     This cuts the lineage: a lost executor costs only the tasks that read the table.
-    The folders of a session are listed until :func:`release` deletes them.
+    The folders of a session are listed until :func:`release` deletes them.  ``by``, a column of a
+    few values, gives each value a folder, so that :func:`drop_part` can delete one; the rows are
+    not sorted for that.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", codec).parquet(path)
+    writer = df.write.option("compression", codec)
+    if by is None:
+        writer.parquet(path)
+    else:
+        writers = "spark.sql.maxConcurrentOutputFileWriters"
+        old = spark.conf.get(writers, "0")
+        spark.conf.set(writers, "8")
+        try:
+            writer.partitionBy(by).parquet(path)
+        finally:
+            spark.conf.set(writers, old)
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_part(df: DataFrame, part: str) -> None:
+    """Delete the folder ``part`` (column=value) of a table from :func:`staged` with ``by``."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.endswith(f"/{part}"):
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder's path under ``spark.checkpoint.dir``, deleted by :func:`release`."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
@@ -44,7 +66,9 @@ def keyed(df: DataFrame) -> DataFrame:
 
 
 def _folders(df: DataFrame) -> set[str]:
-    return {f.rsplit("/", 2)[0].split(":", 1)[-1].lstrip("/") for f in df.inputFiles()}
+    """The folders above the tables that ``df`` reads."""
+    tables = {re.sub(r"(/[^/=]+=[^/]*)*/[^/]+$", "", f) for f in df.inputFiles()}
+    return {t.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") for t in tables}
 
 
 def drop_staged(df: DataFrame, keep: DataFrame | None = None) -> None:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from riskline.llm.common import drop_staged, keyed, staged, text_or_empty, tidy
+from riskline.llm.common import drop_part, drop_staged, keyed, staged, text_or_empty, tidy
 from riskline.llm.components import components
 
 SHINGLE = 4
@@ -248,12 +248,15 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Data
 def _class_components(scanned: DataFrame, bits: int, shards: int, percent: int, words: int) -> DataFrame:
     """(class, root) for the classes with a link to another one."""
     docs = scanned.where("kind = 0 and n > 0")
-    found = scanned.where("kind = 1").groupBy("shard").applyInArrow(_frequent, "block long, keys binary, freq binary")
+    found = staged(scanned.where("kind = 1").groupBy("shard").applyInArrow(_frequent, "block long, keys binary, freq binary"), "found")
+    drop_part(scanned, "kind=1")
+    tidy(scanned.sparkSession)
     postings = staged(
         docs.select("block", "class", "text").groupBy("block").cogroup(found.groupBy("block"))
         .applyInArrow(_postings(bits, percent, words), "gram long, class binary, n int, pos int, " + ", ".join(f"bits{k} long" for k in range(SKETCH))).distinct(),
         "postings",
     )
+    drop_staged(found)
     tidy(scanned.sparkSession)
     # the text of one document of each class that has postings; copies are told apart by block
     # and place in it, so that only one of them is shipped, once
@@ -317,7 +320,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     guess = size // 4 + 1  # shingles, roughly; only sizes ranges and keys
     bits = max(32, min(64, guess.bit_length() + 9))
     shards = max(1, guess // RANGE_KEYS)
-    scanned = staged(rows.mapInArrow(_scan(bits, shards, words), _SCANNED), "scanned")
+    scanned = staged(rows.mapInArrow(_scan(bits, shards, words), _SCANNED), "scanned", by="kind")
     roots = _class_components(scanned, bits, shards, percent, words)
     plain = scanned.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "class")
     return plain.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
