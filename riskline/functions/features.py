@@ -33,11 +33,6 @@ def hour(time="Time") -> Column:
     return F.pmod(_c(time) / F.lit(SECONDS_PER_HOUR), F.lit(24.0))
 
 
-def hour_bucket(hour_col="Hour") -> Column:
-    """Integer hour 0..23 (N8: group on floor(Hour), not on the fractional value)."""
-    return F.floor(_c(hour_col)).cast("int")
-
-
 def day(time="Time") -> Column:
     """whole days since the start, floor(Time/86400)."""
     return F.floor(_c(time) / F.lit(SECONDS_PER_DAY)).cast("int")

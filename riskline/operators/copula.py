@@ -1,5 +1,4 @@
-"""Gaussian-copula synthetic rows (B5), quality by a real-vs-synthetic
-discriminator (B7), and running / ranking all generators (B6, B8, B9).
+"""Gaussian-copula synthetic rows (B5) and quality by a real-vs-synthetic discriminator.
 
 Copula fit on the minority rows only (fewer than 10 rows -> nothing):
   * per-column ranks from the bucketed row-number operator (grouped by column, no
@@ -21,6 +20,9 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
@@ -30,9 +32,11 @@ from riskline.functions.rng import lcg_uniform_np
 from riskline.functions.stats import norm_ppf
 from riskline.operators.explore import to_long
 from riskline.operators.ordered import row_numbers
+from riskline.operators.split import stratified_split
+from riskline.sources.staging import drop_stage, stage
 
 MIN_ROWS = 10
-
+NUM_SAMPLES = 2000
 
 
 def _norm_cdf_np(x: np.ndarray) -> np.ndarray:
@@ -41,7 +45,6 @@ def _norm_cdf_np(x: np.ndarray) -> np.ndarray:
     poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
     erf = 1.0 - poly * np.exp(-z * z)
     return np.where(x >= 0, 0.5 * (1.0 + erf), 0.5 * (1.0 - erf))
-NUM_SAMPLES = 2000
 
 
 def gaussian_copula(df: DataFrame, features: list[str], label: str = "Class", key: str = "event_id", minority: int = 1,
@@ -92,23 +95,14 @@ def gaussian_copula(df: DataFrame, features: list[str], label: str = "Class", ke
 
 
 def discriminator_quality(real: DataFrame, synthetic: DataFrame, features: list[str], trees: int = 100, seed: int = 42) -> float:
-    """1 - accuracy of a random forest telling real from synthetic rows on a
-    stratified 30 % test split; 0.0 when evaluation fails."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-
-    from riskline.operators.split import stratified_split
-
-    try:
-        both = real.select(*features).withColumn("_is_syn", F.lit(0)).unionByName(synthetic.select(*features).withColumn("_is_syn", F.lit(1)))
-        both = both.withColumn("_k", F.monotonically_increasing_id()).checkpoint(eager=True)
-        s = stratified_split(both, key="_k", label="_is_syn", test_size=0.3, val_size=0.0, seed=seed)
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
-                                RandomForestClassifier(labelCol="_is_syn", numTrees=trees, seed=seed)])
-        model = pipe.fit(s.where(F.col("split") == "train"))
-        acc = MulticlassClassificationEvaluator(labelCol="_is_syn", metricName="accuracy").evaluate(
-            model.transform(s.where(F.col("split") == "test")))
-        return 1.0 - float(acc)
-    except Exception:  # noqa: BLE001 - the reference scores a failed evaluation 0.0
-        return 0.0
+    """1 - accuracy of a random forest telling real from synthetic rows on a stratified 30 %
+    test split.  Raises what the training raises."""
+    both = real.select(*features).withColumn("_is_syn", F.lit(0)).unionByName(synthetic.select(*features).withColumn("_is_syn", F.lit(1)))
+    both = stage(both.withColumn("_k", F.monotonically_increasing_id()), "discriminator")  # written with their key
+    s = stratified_split(both, key="_k", label="_is_syn", test_size=0.3, val_size=0.0, seed=seed)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
+                            RandomForestClassifier(labelCol="_is_syn", numTrees=trees, seed=seed)])
+    model = pipe.fit(s.where(F.col("split") == "train"))
+    acc = MulticlassClassificationEvaluator(labelCol="_is_syn", metricName="accuracy").evaluate(model.transform(s.where(F.col("split") == "test")))
+    drop_stage(both)
+    return 1.0 - float(acc)

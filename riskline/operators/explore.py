@@ -47,8 +47,8 @@ def histogram_density(df: DataFrame, col: str, bins: int, upper: float | None =
     rng = data.groupBy(label).agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(F.lit(1)).alias("n"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     idx = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col(col) - F.col("lo")) / width), F.lit(bins - 1)))
-    # the per-class range table has one row per class: broadcast is safe
-    binned = data.join(F.broadcast(rng), on=label).select(label, idx.cast("int").alias("bin"), "lo", "hi", "n")
+    # one row per class: AQE broadcasts it from its measured size
+    binned = data.join(rng, on=label).select(label, idx.cast("int").alias("bin"), "lo", "hi", "n")
     counts = binned.groupBy(label, "bin", "lo", "hi", "n").agg(F.count(F.lit(1)).alias("count"))
     w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return counts.select(

@@ -124,9 +124,12 @@ class TransactionPreprocessorModel(Model, _PreprocessorParams, MLReadable, MLWri
         self.feature_names, self.days = list(feature_names), days
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        """One row per row: the columns that are no feature, then the features in the learnt order
-        (0 for an absent one), then the label.  A missing value without a learnt median stays
-        missing."""
+        """One row per row: the columns that are no feature, then the features in the learnt order,
+        then the label.  A missing value without a learnt median stays missing.  Raises ValueError
+        without one of the base columns."""
+        absent = [c for c in BASE_COLS if c not in dataset.columns]
+        if absent:
+            raise ValueError(f"columns are absent: {absent}")
         others = [c for c in dataset.columns if c not in BASE_COLS and c != LABEL and c not in self.feature_names]
         rows = self._plain_features(_filled(_nan_to_null(dataset), self.medians))
         rows = self._with_zscore(rows, self.days, *self.amount)

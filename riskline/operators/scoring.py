@@ -43,7 +43,10 @@ def request_fault(features: str = "features") -> Column:
 
 def sound_requests(requests: DataFrame, observed: Observation | str | None = None) -> DataFrame:
     """The requests that can be scored.  With ``observed`` (an Observation for a batch, a name for a
-    stream) the pass that scores them also counts ``requests``, ``scored`` and each fault."""
+    stream) the pass that scores them also counts ``requests``, ``scored`` and each fault.
+
+    Give an Observation only to requests of a session of their own (``spark.newSession()``): once a
+    session has had one, Spark can't send a model with a training summary from it to executors."""
     rows = requests.withColumn("_fault", request_fault())
     if observed is not None:
         counts = [F.count_if(F.col("_fault") == f).alias(f) for f in FAULTS]

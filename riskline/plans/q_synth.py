@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from riskline.functions.rng import lcg_uniform_sql
 from riskline.operators import balance as bl
 from riskline.operators import copula as cp
+from riskline.operators import generators as gn
 from riskline.operators import logs as lg
 from riskline.operators.anomaly import isolation_forest
 from riskline.operators.featurize import enrich
 from riskline.plans.registry import query
 from riskline.plans.sql import FEAT, TX, with_ctes
 from riskline.sources import fixtures as fx
+from riskline.sources.staging import stage
 
 _F = bl.SMOTE_FEATURES
 _Q = ['"Time"' if c == "Time" else c for c in _F]
@@ -61,31 +63,33 @@ def b5_gaussian_copula(spark, sf):
 
 @query("b6_b9_generators_ranked")
 def b6_b9_generators_ranked(spark, sf):
-    """Run every generator, score it by 1 - discriminator accuracy, sort by quality, band."""
-    e = enrich(fx.transactions(spark, sf)).checkpoint(eager=True)
-    real = e.where(F.col("Class") == 1)
-    gens = {
-        "smote": lambda: bl.smote(e),
-        "borderline_smote": lambda: bl.borderline_smote(e),
-        "simple_oversampling": lambda: bl.oversample_with_noise(e, _F),
-        "gaussian_copula": lambda: cp.gaussian_copula(e, _F, num_samples=500),
-    }
-    rows = []
-    for name, g in gens.items():
-        try:
-            syn = g()
-        except Exception:  # noqa: BLE001 - a failing generator is skipped (B6)
-            syn = None
-        if syn is None:
-            continue
-        syn = syn.checkpoint(eager=True)
-        q = cp.discriminator_quality(real, syn, _F, trees=20)
-        rows.append((name, syn.count(), float(q)))
-    df = spark.createDataFrame(rows, "method string, synthetic_rows long, quality double")
-    from pyspark.sql import Window
-
-    w = Window.orderBy(F.col("quality").desc(), F.col("method"))  # one row per generator
-    return df.withColumn("rank", F.row_number().over(w)).withColumn("status", bl.quality_band(F.col("quality")))
+    """Run every enabled generator with the reference's parameters, score it by 1 -
+    discriminator accuracy, sort by quality, band; what fails has a row with its error."""
+    e = stage(enrich(fx.transactions(spark, sf)).select("event_id", "Class", *_F), "transactions")
+    return gn.evaluate(e, gn.generate_all(e, _F), _F)
+
+
+@query(
+    "b9_balanced_datasets",
+    with_ctes(
+        TX,
+        "c AS (SELECT count(CASE WHEN Class = 1 THEN 1 END) AS n_min, count(CASE WHEN Class <> 1 THEN 1 END) AS n_maj FROM transactions)",
+        "m AS (SELECT *, greatest(CAST(floor(CAST(0.2 AS DOUBLE) * n_maj) AS BIGINT) - n_min, 0) AS more FROM c)",
+    )
+    + """SELECT 'smote' AS method, CASE WHEN more > 0 AND n_min > 5 THEN 'success' ELSE 'none' END AS status, n_maj AS majority, n_min + CASE WHEN n_min > 5 THEN more ELSE 0 END AS minority FROM m
+UNION ALL SELECT 'simple_oversampling', CASE WHEN more > 0 AND n_min > 0 THEN 'success' ELSE 'none' END, n_maj, n_min + CASE WHEN n_min > 0 THEN more ELSE 0 END FROM m
+UNION ALL SELECT 'gaussian_copula', CASE WHEN n_min >= 10 THEN 'success' ELSE 'none' END, n_maj, CASE WHEN n_min >= 10 THEN 2000 ELSE n_min END FROM m
+UNION ALL SELECT 'no_such_method', 'failed', n_maj, n_min FROM m""",
+)
+def b9_balanced_datasets(spark, sf):
+    """The table balanced to a ratio of 0.2 by several methods; an unknown one leaves it as it is."""
+    e = stage(enrich(fx.transactions(spark, sf)).select("event_id", "Class", *_F), "transactions")
+    out = None
+    for method in ("smote", "simple_oversampling", "gaussian_copula", "no_such_method"):
+        rows, got = gn.create_balanced_dataset(e, _F, method, 0.2)
+        one = rows.agg(F.count_if(F.col("Class") != 1).alias("majority"), F.count_if(F.col("Class") == 1).alias("minority")).select(F.lit(method).alias("method"), F.lit(got.status).alias("status"), "majority", "minority")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("d9_isolation_forest")

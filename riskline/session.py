@@ -71,8 +71,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
 RUNTIME_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

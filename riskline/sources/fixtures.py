@@ -8,11 +8,13 @@ are derived from it or from the raw tables, so their work grows with the data.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskline.functions.features import V_COLS
-from riskline.sources.tables import BROADCAST_MAX_ROWS, read_table
+from riskline.sources.tables import read_table
 
 BASE_COLUMNS = ["Time", *V_COLS, "Amount", "Class"]
 EPOCH = "2024-01-01 00:00:00"
@@ -24,22 +26,22 @@ def seconds_since(ts_col: str, epoch: str = EPOCH):
     return (F.unix_micros(ts) - F.unix_micros(F.lit(epoch).cast("timestamp"))) / F.lit(1e6)
 
 
-_COUNTS: dict[tuple[int, str, str], int] = {}
+_ROWS: weakref.WeakKeyDictionary[DataFrame, int] = weakref.WeakKeyDictionary()
 
 
-def _row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
-    key = (id(spark._jsparkSession), sf_dir, name)
-    if key not in _COUNTS:
-        _COUNTS[key] = read_table(spark, sf_dir, name).count()
-    return _COUNTS[key]
+def _rows_of(spark: SparkSession, sf_dir: str) -> int:
+    relation = read_table(spark, sf_dir, "embeddings")
+    if relation not in _ROWS:
+        _ROWS[relation] = relation.count()
+    return _ROWS[relation]
 
 
 def transactions(spark: SparkSession, sf_dir: str, *, with_key: bool = True) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    n_vec = _row_count(spark, sf_dir, "embeddings")  # one scalar; also the size check for the broadcast
-    side = F.broadcast(emb) if n_vec <= BROADCAST_MAX_ROWS else emb
-    joined = ev.join(side, F.pmod(ev["event_id"], F.lit(n_vec)) == side["vec_id"])
+    n_vec = _rows_of(spark, sf_dir)  # from the files' footers
+    # no hint: Spark broadcasts the vectors where their bytes are few, and AQE where they prove so
+    joined = ev.join(emb, F.pmod(ev["event_id"], F.lit(n_vec)) == emb["vec_id"])
     cols = ["event_id"] if with_key else []
     cols.append(f"(unix_micros(CAST(ts AS TIMESTAMP)) - unix_micros(TIMESTAMP '{EPOCH}')) / 1e6 AS `Time`")
     cols += [f"CAST(embedding[{i}] AS DOUBLE) * 8.0 AS V{i + 1}" for i in range(28)]

@@ -1,49 +1,38 @@
-"""Parquet table loading and size-checked broadcast."""
+"""Parquet table loading."""
 
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Largest side we are willing to ship to every executor.  The check is a row count
-# bounded by this limit (``limit(n+1).count()``), so it costs at most one small job.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+_READ: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = weakref.WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one input table.
 
-    The resolved relation (file listing + footer schema) is reused within a session:
-    inputs are immutable, and re-listing them for every query costs more than the
-    small-scale queries themselves.  Catalyst still prunes columns and pushes filters
-    per query, since each query builds its own plan on top of the relation."""
-    key = (id(spark._jsparkSession), table_path(sf_dir, name))
-    df = _READ_CACHE.get(key)
-    if df is None:
-        df = spark.read.parquet(key[1])
-        _READ_CACHE[key] = df
-    return df
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    Above the bound the frame is returned unhinted, so Spark plans a shuffle
-    (sort-merge or shuffled-hash) join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    The resolved relation (file listing + footer schema) is reused within a session: inputs are
+    immutable, and re-listing them for every query costs more than the small-scale queries
+    themselves; :func:`forget_tables` drops it for inputs that have changed.  Catalyst still prunes
+    columns and pushes filters per query, since each query builds its own plan on the relation."""
+    known, path = _READ.setdefault(spark, {}), table_path(sf_dir, name)
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
+
+
+def forget_tables(spark: SparkSession) -> None:
+    """List the files of all tables anew when they are read next."""
+    _READ.pop(spark, None)
