@@ -33,10 +33,8 @@ CACHE_WORDS = 1_500_000
 RUN_WORDS, WAITING = 128, 16
 DIGIT = "7"
 
-# Signs other than the apostrophe, and those that open or close a special token, never share a
-# piece with a letter before them.  Letters: a-z and U+00C0-U+00FF but for U+00D7 and U+00F7.
-_SIGNS = b'!"#$%&()*+-/:;=?@[\\]^_`{}~'
-_POINTS = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[.,!\"#$%&()*+\-/:;=?@\[\\\]^_`{}~])")
+# Points after a letter: a-z and U+00C0-U+00FF but for U+00D7 and U+00F7; and points after others.
+_POINTS = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[.,])")
 _OTHER_POINTS = re.compile(rb"(?:[^a-z\s\x80-\xbf]|(?<!\xc3)[\x80-\xbf]|\xc3[\x97\xb7])[.,]")
 _WORKER: dict = {}
 
@@ -82,15 +80,15 @@ class _Ids(dict):
 def _words(text: str) -> list[bytes]:
     """Parts of a text that the tokenizer treats each on its own, in lower case as it does.
 
-    Letters and the points and signs after them never share a piece.  Its special tokens are matched in the raw text,
+    Letters and points never share a piece.  Its special tokens are matched in the raw text,
     so a text that may hold one is only split at white space.  ``bytes.split`` knows just the
-    ASCII white space; without signs, and where every point follows a letter or white space, plain
-    replacement parts the points."""
+    ASCII white space; where every point follows a letter or white space, plain replacement
+    parts the points."""
     raw = text.encode("utf-8", "surrogatepass")
     if b"<|" in raw:
         return raw.split()
     lower = raw.lower()
-    if len(lower.translate(None, _SIGNS)) < len(lower) or _OTHER_POINTS.search(lower):
+    if _OTHER_POINTS.search(lower):
         return _POINTS.sub(b" ", lower).split()
     return lower.replace(b".", b" .").replace(b",", b" ,").split()
 
