@@ -17,6 +17,7 @@ from riskline.operators import generators as gn
 from riskline.operators import models as md
 from riskline.operators.neighbors import knn
 from riskline.operators.scoring import FAULTS, sound_requests
+from riskline.operators.split import balanced_weights
 from riskline.streaming import monitor as mo
 from riskline.streaming import streams as st
 
@@ -287,3 +288,20 @@ def test_forest_samples_are_the_smallest_draws(spark, n):
         assert got[tree] == set(keys[np.argsort(u, kind="stable")[: min(64, n)]].tolist())
 
 
+
+
+def test_class_weights_leave_rows_in_their_tasks(spark):
+    """Rows dealt by label put a common label's rows into one task (nine in ten here)."""
+    df = spark.range(0, 4000, 1, 8).selectExpr("id AS event_id", "CAST(id % 10 = 0 AS INT) AS Class", "CAST(id AS DOUBLE) AS a")
+    out = balanced_weights(df)
+    assert "Exchange hashpartitioning(Class" not in out._jdf.queryExecution().toString()
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 500
+    assert {(r["Class"], round(r["weight"], 9)) for r in out.select("Class", "weight").distinct().collect()} == {(0, round(1 / 1.8, 9)), (1, 5.0)}
+
+
+def test_class_weights_of_null_and_many_labels(spark, monkeypatch):
+    df = spark.createDataFrame([(i, None if i < 2 else i % 4) for i in range(12)], "event_id long, Class int")
+    few = sorted(map(tuple, balanced_weights(df).collect()))
+    monkeypatch.setattr("riskline.operators.split.MAX_LABELS", 2)
+    assert sorted(map(tuple, balanced_weights(df).collect())) == few and len(few) == 10
