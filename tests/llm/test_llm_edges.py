@@ -182,3 +182,27 @@ def test_rows_are_found_again_when_splits_change(spark, tmp_path, monkeypatch, s
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_anchors_are_the_most_frequent_words_of_all_training_documents(spark, monkeypatch):
+    """Also where no task names them: every word but one is led by others in each partition."""
+    from collections import Counter
+
+    texts = [f"w{i % 7} " * 3 + " ".join(f"x{i}-{k}" for k in range(20)) + " Every every" for i in range(60)]
+    n = Counter(w for t in texts for w in t.lower().split())
+    best = sorted(w.encode() for w, _ in sorted(n.items(), key=lambda x: (-x[1], x[0]))[:4])
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    assert hpyp.frequent_words(df, 4) == (best, sum(map(len, texts)))
+    monkeypatch.setattr(hpyp, "LOCAL_TOP", 5)
+    assert hpyp.frequent_words(df, 4)[0] == best
+    few = hpyp.frequent_words(spark.createDataFrame([("b a b",)], "text string"), 4)
+    assert few == ([b"a", b"b"], 5) and hpyp.frequent_words(df.limit(0), 4) == ([], 0)
+
+
+def test_anchors_come_from_every_training_document(spark, monkeypatch):
+    seen = []
+    whole = hpyp.frequent_words
+    monkeypatch.setattr(hpyp, "frequent_words", lambda texts, k: seen.append(texts.count()) or whole(texts, k))
+    docs = spark.createDataFrame([(i, f"a b w{i}") for i in range(100)], "doc_id long, text string")
+    assert hpyp.scores(docs).count() == 100
+    assert seen == [docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 1").count()]
