@@ -5,6 +5,7 @@ import math
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import Observation
@@ -15,6 +16,7 @@ from riskline.operators import copula as cp
 from riskline.operators import drift as dr
 from riskline.operators import generators as gn
 from riskline.operators import models as md
+from riskline.operators import neighbors as nb
 from riskline.operators.neighbors import knn
 from riskline.operators.scoring import FAULTS, sound_requests
 from riskline.operators.split import balanced_weights
@@ -305,3 +307,36 @@ def test_class_weights_of_null_and_many_labels(spark, monkeypatch):
     few = sorted(map(tuple, balanced_weights(df).collect()))
     monkeypatch.setattr("riskline.operators.split.MAX_LABELS", 2)
     assert sorted(map(tuple, balanced_weights(df).collect())) == few and len(few) == 10
+
+
+def test_dealt_queries_come_in_bounded_batches(monkeypatch):
+    """A query that visits many chunks was repeated for all of them, for a whole batch, at once."""
+    monkeypatch.setattr(nb, "SENT", 100)
+    rng = np.random.default_rng(1)
+    cells = nb._Cells(rng.normal(size=(4, 3)), [[1.0, 2.0]] * 4, [[5, 5, 5]] * 4)
+    vecs = rng.normal(size=(200, 3))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(vecs.tolist()), pa.array([math.inf] * 200)], names=["id", "vec", "r"])
+    got = list(nb._dealt_queries(cells, False)(iter([batch])))
+    assert max(b.num_rows for b in got) <= 100 + 60 and sum(b.num_rows for b in got) == 200 * 55
+    assert len(set(zip(*[x for b in [pa.Table.from_batches(got)] for x in (b["key"].to_pylist(), b["qid"].to_pylist())]))) == 200 * 55
+
+
+@pytest.mark.parametrize("shift, odd", [(0.0, None), (1e9, None), (0.0, math.inf)])
+def test_nearest_of_a_chunk_equals_all_distances(shift, odd):
+    """Also far from zero, where products lose digits, with ties, repeated ids and infinite coordinates."""
+    rng = np.random.default_rng(2)
+    p = np.round(rng.normal(size=(300, 4)), 1) + shift
+    if odd is not None:
+        p[7, 2] = odd
+    pid = rng.permutation(300)
+    pid[5] = pid[6]
+    q, qid, reach = p[:80], pid[:80], np.where(rng.random(80) < 0.5, 0.7, math.inf)
+    d = nb._distances(q, p)
+    for bounded in (False, True):
+        want = []
+        for i in range(80):
+            near = sorted((d[i, j], pid[j]) for j in range(300) if pid[j] != qid[i] and np.isfinite(d[i, j]) and (not bounded or d[i, j] <= reach[i]))
+            want += [(qid[i], j, x) for x, j in near[:6]]
+        left = pa.table([pa.array(qid), pa.array(q.tolist()), pa.array(reach)], names=["qid", "qvec", "r"])
+        got = nb._nearest(6, bounded)(left, pa.table([pa.array(pid), pa.array(p.tolist())], names=["pid", "pvec"]))
+        assert sorted(zip(*[got.column(c).to_pylist() for c in ("qid", "pid", "dist")])) == sorted(want)
