@@ -34,8 +34,9 @@ RUN_WORDS, WAITING = 128, 16
 DIGIT = "7"
 
 # Points after a letter: a-z and U+00C0-U+00FF but for U+00D7 and U+00F7; and points after others.
-_POINTS = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[.,])")
-_OTHER_POINTS = re.compile(rb"(?:[^a-z\s\x80-\xbf]|(?<!\xc3)[\x80-\xbf]|\xc3[\x97\xb7])[.,]")
+# Both begin with the point itself, so that the search skips what lies between the points.
+_POINTS = re.compile(rb"[.,](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
+_OTHER_POINTS = re.compile(rb"[.,](?:(?<=[^a-z\s\x80-\xbf].)|(?<=(?<!\xc3)[\x80-\xbf].)|(?<=\xc3[\x97\xb7].))")
 _WORKER: dict = {}
 
 
@@ -89,7 +90,7 @@ def _words(text: str) -> list[bytes]:
         return raw.split()
     lower = raw.lower()
     if _OTHER_POINTS.search(lower):
-        return _POINTS.sub(b" ", lower).split()
+        return _POINTS.sub(rb" \g<0>", lower).split()
     return lower.replace(b".", b" .").replace(b",", b" ,").split()
 
 

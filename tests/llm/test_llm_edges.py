@@ -206,3 +206,26 @@ def test_anchors_come_from_every_training_document(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"a b w{i}") for i in range(100)], "doc_id long, text string")
     assert hpyp.scores(docs).count() == 100
     assert seen == [docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 1").count()]
+
+
+def test_points_are_parted_from_letters_alone():
+    import random
+    import time
+
+    def parted(text):
+        def letter(c):
+            return "a" <= c <= "z" or ("\u00c0" <= c <= "\u00ff" and c not in "\u00d7\u00f7")
+
+        # only A-Z is lower-cased, as bytes.lower does
+        low = text.encode().lower().decode()
+        return "".join(f" {c}" if c in ".," and k and letter(low[k - 1]) else c for k, c in enumerate(low)).encode().split()
+
+    rng = random.Random(1)
+    for _ in range(5000):
+        text = "".join(rng.choices("azQ., \n1-\u00d7\u00e9\u00f7\u00a9\u4e2d\u00c3", k=rng.randint(0, 9)))
+        assert packing._words(text) == parted(text), text
+    plain = "words of plain prose without many points " * 50_000
+    begin, _ = time.process_time(), packing._OTHER_POINTS.search(plain.encode())
+    whole = time.process_time() - begin
+    begin, _ = time.process_time(), plain.encode().split()
+    assert whole < 3 * (time.process_time() - begin)  # it took over four times as long as the split
