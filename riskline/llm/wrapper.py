@@ -11,14 +11,17 @@ footers, sidebars, notices, adverts, forms or comments.  A class or id counts as
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import json
 import re
-from bisect import bisect_left
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +37,13 @@ CONSTANT, MIN_PAGES = 0.8, 2
 TEXTS = 8
 #: Weight of a pair of nodes with the same text, more than what a shift of their siblings gains.
 SAME = 1000
-#: Pairs of siblings up to which they are aligned exactly; longer lists are first cut at the
-#: texts that both have once.
+#: Pairs of siblings up to which lists are aligned by a table in plain Python, which is quicker for
+#: them; longer lists are aligned alike by :class:`_Long`, in arrays.
 PAIRS = 40000
+#: Numbers that :class:`_Long` holds at a time, beside two rows for each halving of its table.
+CELLS = 2_000_000
+#: Calls in one another that lists in long lists may take, about ten for each of DEPTH levels.
+CALLS = 3000
 
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -223,18 +230,18 @@ def _score(a: list, b: list) -> int:
         return 0
     if _plain(x, y):
         return sum(_weight(c, d) for c, d in zip(x, y))
-    return _matching(x, y)[0]
+    return _Long(x, y).score() if len(x) * len(y) > PAIRS else _matching(x, y)[0]
 
 
 def align(a: list, b: list) -> list:
     """Simple tree matching of the children of a and b: matched pairs of indices."""
     x, y = a[4], b[4]
-    return [(i, i) for i in range(len(x))] if _plain(x, y) else _matching(x, y)[1]
+    if _plain(x, y):
+        return [(i, i) for i in range(len(x))]
+    return _Long(x, y).pairs() if len(x) * len(y) > PAIRS else _matching(x, y)[1]
 
 
 def _matching(x: list, y: list) -> tuple[int, list]:
-    if len(x) * len(y) > PAIRS:
-        return _cut(x, y)
     w = [[_weight(c, d) for d in y] for c in x]
     m = [[0] * (len(y) + 1)]
     for row in w:
@@ -260,50 +267,251 @@ def _matching(x: list, y: list) -> tuple[int, list]:
     return m[-1][-1], pairs[::-1]
 
 
-def _marks(x: list) -> dict:
-    """Index of the children by key and text, of those that are alone with it."""
-    at: dict = {}
-    for i, c in enumerate(x):
-        for said in c[2]:
-            at[c[0], said] = -1 if (c[0], said) in at else i
-    return {k: i for k, i in at.items() if i >= 0}
-
-
-def _cut(x: list, y: list) -> tuple[int, list]:
-    """As _matching for long lists: the longest rising run of texts that both have once is
-    matched, what lies between is aligned, or paired in order if it is long itself."""
-    mine, other = _marks(x), _marks(y)
-    shared = sorted({(i, other[k]) for k, i in mine.items() if k in other})
-    tops: list = []
-    chain: list = []  # (j, number of the step before), by patience
-    ends: list = []
-    for i, j in shared:
-        k = bisect_left(tops, j)
-        chain.append((i, j, ends[k - 1] if k else -1))
-        if k == len(tops):
-            tops.append(j)
-            ends.append(len(chain) - 1)
-        else:
-            tops[k], ends[k] = j, len(chain) - 1
-    steps, k = [], ends[-1] if ends else -1
-    while k >= 0:
-        i, j, k = chain[k]
-        if not steps or i < steps[-1][0]:
-            steps.append((i, j))
-    score, pairs, i, j = 0, [], 0, 0
-    for p, q in [*steps[::-1], (len(x), len(y))]:
-        if (p - i) * (q - j) > PAIRS:
-            between = [(d, d) for d in range(min(p - i, q - j)) if x[i + d][0] == y[j + d][0]]
-            score += len(between)
-        else:
-            got, between = _matching(x[i:p], y[j:q])
-            score += got
-        pairs += [(i + d, j + e) for d, e in between]
-        if p < len(x) and q < len(y):
-            pairs.append((p, q))
-            score += _weight(x[p], y[q])
-        i, j = p + 1, q + 1
-    return score, pairs
+class _Long:
+    """The alignment of :func:`_matching`, ties and all, for lists of any length.
+
+    Nodes are told apart only by what counts for the other list: nodes of one kind have the same
+    keys and, of the texts that the other list has at the same place, the same ones.  ``most`` is
+    what a node of a kind can weigh at most.  A cell of the table whose rows and columns before
+    and after it cannot reach the best score is left out; a row is one array, and of the rows
+    only as many are held as CELLS allows, the others are computed again on the way back.
+    """
+
+    def __init__(self, x: list, y: list):
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), CALLS))
+        self.paths: dict = {}  # (path of the parent, key): path
+        self.kinds: dict = {}  # (path, texts, kinds of the children): kind
+        self.node: list = []  # of a kind: a node with these texts and children only
+        self.path, self.below, self.bare, self.most, self.plain = [], [], [], [], []
+        self.known: dict = {}
+        said_x: dict = {}
+        said_y: dict = {}
+        self._texts(x, 0, said_x)
+        self._texts(y, 0, said_y)
+        kinds_x = [self._kind(c, 0, said_y) for c in x]
+        self.y = [self._kind(d, 0, said_x) for d in y]
+        self.index = [i for i, k in enumerate(kinds_x) if k >= 0]
+        self.x = [kinds_x[i] for i in self.index]
+        # Equal ends weigh the most that either can: matched, as on the way back through the table.
+        self.tail: list = []
+        self.tail_score = 0
+        while self.x and self.y and self.x[-1] == self.y[-1]:
+            self.tail_score += self.most[self.x.pop()]
+            self.y.pop()
+            self.tail.append((self.index[len(self.x)], len(self.y)))
+        self.most_x = np.cumsum([0, *[self.most[k] for k in self.x]])
+        self.most_y = np.cumsum([0, *[self.most[k] if k >= 0 else 0 for k in self.y]])
+        self.top = int(min(self.most_x[-1], self.most_y[-1]))
+        self.number = np.int32 if self.top < 1 << 30 else np.int64
+        self.none = -(1 << 30) if self.top < 1 << 30 else -(1 << 62)
+        self.shape = np.array([self.bare[k] if k >= 0 else -1 for k in self.y], np.int64)
+        self.shapes, self.which = np.unique(self.shape, return_inverse=True)
+        at: dict = {}
+        for j, k in enumerate(self.y):
+            for spot in self._said(k) if k >= 0 else ():
+                at.setdefault(spot, []).append(j)
+        self.at = {spot: np.array(js) for spot, js in at.items()}
+        self.rows: dict = {}
+        self.having: dict = {}
+
+    def _texts(self, nodes: list, parent: int, out: dict) -> None:
+        for c in nodes:
+            path = self.paths.setdefault((parent, c[0]), len(self.paths) + 1)
+            out.setdefault(path, set()).update(c[2])
+            self._texts(c[4], path, out)
+
+    def _kind(self, c: list, parent: int, other: dict) -> int:
+        path = self.paths[parent, c[0]]
+        if path not in other:
+            return -1
+        below = [k for d in c[4] if (k := self._kind(d, path, other)) >= 0]
+        return self._intern(c[0], path, frozenset(c[2].keys() & other[path]), tuple(below))
+
+    def _intern(self, key: str, path: int, texts: frozenset, below: tuple) -> int:
+        k = self.kinds.get((path, texts, below))
+        if k is not None:
+            return k
+        blank = tuple(self.bare[b] for b in below)
+        bare = self._intern(key, path, frozenset(), blank) if texts or blank != below else len(self.node)
+        k = self.kinds[path, texts, below] = len(self.node)
+        self.node.append([key, 1, dict.fromkeys(texts, 1), 0, [self.node[b] for b in below]])
+        self.path.append(path)
+        self.below.append(below)
+        self.bare.append(bare)
+        self.most.append((SAME if texts else 1) + sum(self.most[b] for b in below))
+        self.plain.append(len({self.path[b] for b in below}) == len(below) and all(self.plain[b] for b in below))
+        return k
+
+    def _said(self, kind: int) -> list:
+        """(path, text) of all texts in a node of the kind; only nodes with one of them in common
+        weigh more than their keys do."""
+        if kind == self.bare[kind]:
+            return []
+        found, todo = set(), [(self.path[kind], self.node[kind])]
+        while todo:
+            path, c = todo.pop()
+            found.update((path, said) for said in c[2])
+            todo += [(self.paths[path, d[0]], d) for d in c[4]]
+        return sorted(found)
+
+    def _pair(self, k: int, t: int) -> int:
+        if k == t:
+            return self.most[k]
+        if (k, t) not in self.known:
+            if len(self.known) > 1 << 20:
+                self.known.clear()
+            self.known[k, t] = _weight(self.node[k], self.node[t])
+        return self.known[k, t]
+
+    def _weights(self, k: int, a: int, b: int) -> np.ndarray:
+        """Weights of a node of kind k with those at a..b of the other list."""
+        bare = self.bare[k]
+        if bare not in self.rows:
+            if len(self.rows) * len(self.y) > CELLS:
+                self.rows.clear()
+            first = {t: self.most[t] if t == bare else -1 for t in self.shapes.tolist() if t >= 0 and self.path[t] == self.path[bare]}
+            self.rows[bare] = np.array([first.get(t, 0) for t in self.shapes.tolist()], self.number)[self.which]
+        w = self.rows[bare][a:b].copy()
+        if k != bare:
+            self._add_texts(w, k, a, b)
+        while len(open_ := np.flatnonzero(w < 0)):  # asked for only here: nested lists are long to match
+            n = self.which[a + open_[0]]
+            found, there = self._pair(bare, int(self.shapes[n])), self.which == n
+            self.rows[bare][there] = found
+            w[there[a:b] & (w < 0)] = found
+        return w
+
+    def _add_texts(self, w: np.ndarray, k: int, a: int, b: int) -> None:
+        """Set the weights of nodes that have a text in common with one of kind k."""
+        bare, odd = self.bare[k], []
+        for _, spots in groupby(self._said(k), lambda spot: spot[0]):
+            spots = [spot for spot in spots if spot in self.at]
+            if not self.plain[bare]:
+                odd += [(spot, self._within(self.at[spot], a, b)) for spot in spots]
+            elif spots:  # where the keys leave no choice, each text in common adds its weight
+                js = self._within(np.unique(np.concatenate([self.at[spot] for spot in spots])) if len(spots) > 1 else self.at[spots[0]], a, b)
+                alike = self.shape[js] == bare
+                w[js[alike] - a] += SAME - 1
+                odd += [(spot, js[~alike]) for spot in spots if not alike.all()]
+        if not odd:
+            return
+        if len(odd) > 60 or self.plain[bare]:
+            for j in set(np.concatenate([js for _, js in odd]).tolist()):
+                w[j - a] = self._pair(k, self.y[j])
+            return
+        # Nodes that have the same texts in common with this one differ only in where they have them.
+        common = np.zeros(b - a, np.int64)
+        for n, (_, js) in enumerate(odd):
+            common[js - a] |= 1 << n
+        touched = np.flatnonzero(common)
+        which, group = np.unique(common[touched], return_inverse=True)
+        order, ends = np.argsort(group, kind="stable"), np.cumsum(np.bincount(group, minlength=len(which)))
+        for bits, js in zip(which.tolist(), np.split(touched[order], ends[:-1])):
+            if len(js) < 4:
+                w[js] = [self._pair(k, self.y[j + a]) for j in js.tolist()]
+                continue
+            spots = frozenset(spot for n, (spot, _) in enumerate(odd) if bits >> n & 1)
+            having, kinds = self._reduced(spots)
+            these, place = np.unique(kinds[having.searchsorted(js + a)], return_inverse=True)
+            own = self._only(k, spots)
+            w[js] = np.array([self._pair(own, int(t)) for t in these], self.number)[place]
+
+    @staticmethod
+    def _within(js: np.ndarray, a: int, b: int) -> np.ndarray:
+        return js[js.searchsorted(a) : js.searchsorted(b)]
+
+    def _only(self, kind: int, spots: frozenset) -> int:
+        """The kind without its other texts."""
+        if kind == self.bare[kind]:
+            return kind
+        c, path = self.node[kind], self.path[kind]
+        return self._intern(c[0], path, frozenset(said for said in c[2] if (path, said) in spots), tuple(self._only(k, spots) for k in self.below[kind]))
+
+    def _reduced(self, spots: frozenset) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes of the other list that have all of these texts, and their kinds without others."""
+        if spots not in self.having:
+            if sum(len(js) for js, _ in self.having.values()) > CELLS:
+                self.having.clear()
+            js = functools.reduce(lambda x, y: np.intersect1d(x, y, assume_unique=True), [self.at[spot] for spot in spots])
+            self.having[spots] = js, np.array([self._only(self.y[j], spots) for j in js.tolist()], np.int64)
+        return self.having[spots]
+
+    def _bounds(self, least: int) -> tuple[list, list]:
+        """First and last cell of each row through which a score of ``least`` is possible."""
+        lo = self.most_y.searchsorted(least - (self.most_x[-1] - self.most_x), "left")
+        hi = self.most_y.searchsorted(self.most_y[-1] - least + self.most_x, "right") - 1
+        return lo.tolist(), hi.tolist()
+
+    def _sweep(self, row: np.ndarray, start: int, stop: int, end: int, lo: list, hi: list) -> Iterator[np.ndarray]:
+        """The rows after ``start``, whose cells are ``row``, up to ``stop``, as far as column ``end``."""
+        for i in range(start + 1, stop + 1):
+            a, b, c, d = lo[i - 1], min(hi[i - 1], end), lo[i], min(hi[i], end)
+            new = np.full(d - c + 1, self.none, self.number)
+            e = min(b, d)
+            if c <= e:
+                new[: e - c + 1] = row[c - a : e - a + 1]
+            f, g = max(c, a + 1), min(d, b + 1)
+            if f <= g:
+                part = new[f - c : g - c + 1]
+                np.maximum(part, row[f - 1 - a : g - a] + self._weights(self.x[i - 1], f - 1, g), out=part)
+            row = np.maximum.accumulate(new, out=new)
+            yield row
+
+    def _first(self, lo: list, hi: list) -> np.ndarray:
+        return np.zeros(hi[0] - lo[0] + 1, self.number)
+
+    def _best(self) -> int:
+        """The best score but for the tail.  A score no less than the bound that cells were left
+        out by is the best one; else the bound is lowered."""
+        if not self.x or not self.y:
+            return 0
+        gap, least = self.top // 256 + 1, self.top
+        while True:
+            least = max(least, self.top - gap)
+            lo, hi = self._bounds(least)
+            got = -1
+            if all(a <= b for a, b in zip(lo, hi)):
+                for row in self._sweep(self._first(lo, hi), 0, len(self.x), len(self.y), lo, hi):
+                    pass
+                got = int(row[-1])
+            if got >= least:
+                return got
+            gap, least = 4 * gap, max(got, 0)
+
+    def score(self) -> int:
+        return self._best() + self.tail_score
+
+    def pairs(self) -> list:
+        found: list = []
+        if self.x and self.y:
+            lo, hi = self._bounds(self._best())
+            self._back(self._first(lo, hi), 0, len(self.x), len(self.y), lo, hi, found)
+        return [(self.index[i], j) for i, j in found[::-1]] + self.tail[::-1]
+
+    def _back(self, row: np.ndarray, start: int, stop: int, j: int, lo: list, hi: list, found: list) -> int:
+        """Pairs on the way back from cell (stop, j) to the row ``start``, whose cells are ``row``;
+        returns the column it comes to."""
+        row = row[: min(hi[start], j) - lo[start] + 1]
+        if stop - start > 1 and sum(min(hi[i], j) - lo[i] + 1 for i in range(start, stop + 1)) > CELLS:
+            middle = (start + stop) // 2
+            for half in self._sweep(row, start, middle, j, lo, hi):
+                pass
+            j = self._back(half, middle, stop, j, lo, hi, found)
+            del half
+            return self._back(row, start, middle, j, lo, hi, found)
+        rows = [row, *self._sweep(row, start, stop, j, lo, hi)]
+        i = stop
+        while i > start and j:
+            here, above, a = rows[i - start][j - lo[i]], rows[i - 1 - start], lo[i - 1]
+            weight = self._pair(self.x[i - 1], self.y[j - 1]) if self.y[j - 1] >= 0 else 0
+            if weight and 0 <= j - 1 - a < len(above) and here == above[j - 1 - a] + weight:
+                i, j = i - 1, j - 1
+                found.append((i, j))
+            elif 0 <= j - a < len(above) and here == above[j - a]:
+                i -= 1
+            else:
+                j -= 1
+        return j
 
 
 def _counted(a: dict, b: dict) -> tuple[dict, int]:
