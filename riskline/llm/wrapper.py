@@ -311,7 +311,8 @@ class _Long:
             for spot in self._said(k) if k >= 0 else ():
                 at.setdefault(spot, []).append(j)
         self.at = {spot: np.array(js) for spot, js in at.items()}
-        self.rows: dict = {}
+        self.rows: dict = {}  # of a kind without texts: its weights with all of y, -1 while not asked for
+        self.unasked: dict = {}  # how many shapes that is
         self.having: dict = {}
 
     def _texts(self, nodes: list, parent: int, out: dict) -> None:
@@ -371,13 +372,18 @@ class _Long:
                 self.rows.clear()
             first = {t: self.most[t] if t == bare else -1 for t in self.shapes.tolist() if t >= 0 and self.path[t] == self.path[bare]}
             self.rows[bare] = np.array([first.get(t, 0) for t in self.shapes.tolist()], self.number)[self.which]
-        w = self.rows[bare][a:b].copy()
+            self.unasked[bare] = sum(t < 0 for t in first.values())
+        w = self.rows[bare][a:b]
+        if k == bare and not self.unasked[bare]:
+            return w
+        w = w.copy()
         if k != bare:
             self._add_texts(w, k, a, b)
-        while len(open_ := np.flatnonzero(w < 0)):  # asked for only here: nested lists are long to match
+        while self.unasked[bare] and len(open_ := np.flatnonzero(w < 0)):  # asked for only here: nested lists are long to match
             n = self.which[a + open_[0]]
             found, there = self._pair(bare, int(self.shapes[n])), self.which == n
             self.rows[bare][there] = found
+            self.unasked[bare] -= 1
             w[there[a:b] & (w < 0)] = found
         return w
 
